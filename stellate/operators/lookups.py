@@ -106,10 +106,19 @@ def resolve_country(
 
 
 def iso_table(spark: SparkSession) -> DataFrame:
-    """Country name and three-letter code of the Java runtime's ISO 3166 locale data."""
+    """Country name and three-letter code, from the ISO 3166 data of the Java runtime.
+
+    A country is also listed under the canonical name its runtime name is an alias of.
+    """
     locale = spark._jvm.java.util.Locale
     places = [locale("", code) for code in locale.getISOCountries()]
-    rows = [(p.getDisplayCountry(locale.ENGLISH), p.getISO3Country()) for p in places]
+    codes_by_name = {p.getDisplayCountry(locale.ENGLISH): p.getISO3Country() for p in places}
+    canonical = {
+        country_values.ALIASES[name]: code
+        for name, code in codes_by_name.items()
+        if country_values.ALIASES.get(name)
+    }
+    rows = list({**canonical, **codes_by_name}.items())
     return spark.createDataFrame(rows, "name string, iso3 string")
 
 
