@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stellate.config import countries, phases
-from stellate.config import candidates as candidate_values
+from stellate.config import countries
 from stellate.functions import classify, codes, text
 from stellate.operators import cleanup, contract, dimensions, keys, lookups, quality, temporal
-from stellate.operators.joins import left_lookup
 from stellate.operators.quality import ForeignKey
 from stellate.operators.temporal import YearlyGroup
 from stellate.plans import silver
-from stellate.queries.inputs import ANSWER, BASE_TABLES, STAGE_TEXT, base, derive, raw
+from stellate.queries.inputs import BASE_TABLES, STAGE_TEXT, base, derive, raw
 from stellate.queries.registry import query
 from stellate.sources import layers
 
@@ -203,9 +201,7 @@ def membership_flag(spark, sf_dir):
     )
 
 
-INCLUSION = """
-WITH mapped AS (
-  SELECT row_id,
+INCLUSION_MAPPED = """SELECT row_id,
     CAST(CASE vin_2019pcrpipelineinclusion WHEN 'Yes' THEN 100000000 WHEN 'No' THEN 100000001
       WHEN 'Pending' THEN 100000001 END AS BIGINT) AS y2019,
     new_includeinpipeline2021 AS y2021,
@@ -214,12 +210,13 @@ WITH mapped AS (
     CASE new_2024includeinpipeline WHEN 862890000 THEN 100000000
       ELSE new_2024includeinpipeline END AS y2024,
     new_includeinpipeline AS y2025
-  FROM raw_candidates)
-SELECT row_id, y2019, CASE WHEN y2019 = 100000000 AND y2021 = 100000001 THEN 100000000
-  ELSE y2021 END AS y2021, y2023, y2024, y2025 FROM mapped"""
+  FROM raw_candidates"""
+SQL_INCLUSION = f"""mapped AS ({INCLUSION_MAPPED}),
+inclusion AS (SELECT row_id, y2019, CASE WHEN y2019 = 100000000 AND y2021 = 100000001
+  THEN 100000000 ELSE y2021 END AS y2021, y2023, y2024, y2025 FROM mapped)"""
 
 
-@query(INCLUSION)
+@query(f"WITH {SQL_INCLUSION} SELECT * FROM inclusion")
 def inclusion_normalize(spark, sf_dir):
     df = silver.normalize_inclusion(raw(spark, sf_dir, "raw_candidates"))
     return df.select(
@@ -790,34 +787,35 @@ def scd2_lead(spark, sf_dir):
     return df.withColumns({c: F.col(c).cast("string") for c in ("valid_from", "valid_to")})
 
 
+# Years in which a customer placed an order of one priority: most of them leave gaps to fill.
 ORDER_SPANS = """
-SELECT DISTINCT o_custkey, CASE WHEN o_orderkey % 40 = 0 THEN 'n/a'
-  ELSE concat(year(o_orderdate), '-01-01') END AS valid_from FROM orders
-WHERE o_orderpriority = '1-URGENT'"""
-# The filter above makes gaps between the years of a customer, so there is something to fill in.
+SELECT DISTINCT o_custkey, o_orderpriority, CASE WHEN o_orderkey % 40 = 0 THEN 'n/a'
+  ELSE concat(year(o_orderdate), '-01-01') END AS valid_from FROM orders"""
 
 
 @query(f"""
 WITH starts AS ({ORDER_SPANS}),
-spans AS (SELECT o_custkey, valid_from,
-    lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS valid_to FROM starts),
+spans AS (SELECT *, lead(valid_from) OVER (PARTITION BY o_custkey, o_orderpriority
+    ORDER BY valid_from) AS valid_to FROM starts),
 ends AS (SELECT *, TRY_CAST(substr(valid_from, 1, 4) AS INTEGER) AS y1,
     TRY_CAST(substr(valid_to, 1, 4) AS INTEGER) AS y2 FROM spans),
 years AS (SELECT DISTINCT y FROM (SELECT y1 AS y FROM ends UNION ALL SELECT y2 FROM ends) AS a
   WHERE y IS NOT NULL),
-copies AS (SELECT e.*, y, max(y) OVER (PARTITION BY o_custkey, valid_from) AS last_y
+copies AS (SELECT e.*, y, max(y) OVER (PARTITION BY o_custkey, o_orderpriority, valid_from) AS last_y
   FROM ends e JOIN years ON y > y1 AND y < coalesce(y2, (SELECT max(y) FROM years) + 1))
-SELECT o_custkey, valid_from, valid_to, CAST(NULL AS INTEGER) AS infill_year,
+SELECT o_custkey, o_orderpriority, valid_from, valid_to, CAST(NULL AS INTEGER) AS infill_year,
   CASE WHEN valid_to IS NULL AND NOT EXISTS (SELECT 1 FROM copies c
-    WHERE c.o_custkey = e.o_custkey AND c.valid_from = e.valid_from) THEN 1 ELSE 0 END
-    AS is_active_flag
+    WHERE c.o_custkey = e.o_custkey AND c.o_orderpriority = e.o_orderpriority
+      AND c.valid_from = e.valid_from) THEN 1 ELSE 0 END AS is_active_flag
 FROM ends e
 UNION ALL
-SELECT o_custkey, valid_from, valid_to, y,
+SELECT o_custkey, o_orderpriority, valid_from, valid_to, y,
   CASE WHEN valid_to IS NULL AND y = last_y THEN 1 ELSE 0 END FROM copies""")
 def year_infill(spark, sf_dir):
     starts = derive(spark, sf_dir, ORDER_SPANS)
-    spans = temporal.next_boundary(starts, ["o_custkey"], "valid_from", "valid_to")
+    spans = temporal.next_boundary(
+        starts, ["o_custkey", "o_orderpriority"], "valid_from", "valid_to"
+    )
     spans = spans.withColumn("is_active_flag", codes.is_null_flag(F.col("valid_to")))
     return temporal.year_infill(spans)
 
