@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType
 from stellate.functions import codes, text
 
 # Rows read first to settle most columns before the full pass of ``drop_empty_columns``.
-PROBE_ROWS = 4096
+PROBE_ROWS = 1000
 
 
 def col(name: str) -> Column:
@@ -29,28 +29,33 @@ def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.drop(*names)
 
 
-def _columns_with_values(df: DataFrame, names: list[str]) -> set[str]:
-    if not names:
-        return set()
-    found = df.agg(*(F.count(col(n)).alias(str(i)) for i, n in enumerate(names))).first()
-    return {n for i, n in enumerate(names) if found[i] > 0}
+def empty_columns(
+    df: DataFrame, preserve: Iterable[str] = (), among: Iterable[str] | None = None
+) -> list[str]:
+    """Columns without any value, of all columns or of the named ones.
 
-
-def empty_columns(df: DataFrame, preserve: Iterable[str] = ()) -> list[str]:
-    """Columns without any value.
-
-    A few rows settle nearly all columns; only the columns that are NULL in all of them are
-    counted over the whole table, so the full pass reads little more than empty column chunks.
+    The NULL flags of a few rows settle nearly all columns, and reading them stops at the first
+    partitions. Only columns that are NULL in all of those rows are counted over the whole table,
+    so the full pass reads little more than empty column chunks.
     """
-    open_columns = [c for c in df.columns if c not in set(preserve)]
-    seen = _columns_with_values(df.limit(PROBE_ROWS), open_columns)
-    undecided = [c for c in open_columns if c not in seen]
-    seen |= _columns_with_values(df, undecided)
-    return [c for c in open_columns if c not in seen]
-
-
-def drop_empty_columns(df: DataFrame, preserve: Iterable[str] = ()) -> DataFrame:
-    return df.drop(*empty_columns(df, preserve))
+    checked = [c for c in df.columns if c not in set(preserve)]
+    if among is not None:
+        checked = [c for c in checked if c in set(among)]
+    if not checked:
+        return []
+    flags = df.select(*(col(c).isNotNull().alias(str(i)) for i, c in enumerate(checked)))
+    seen = [any(values) for values in zip(*flags.take(PROBE_ROWS))]
+    undecided = [c for c, has_value in zip(checked, seen or [False] * len(checked)) if not has_value]
+    if not undecided:
+        return []
+    counts = df.agg(*(F.count(col(c)).alias(str(i)) for i, c in enumerate(undecided))).first()
+    return [c for c, n in zip(undecided, counts) if n == 0]
+
+
+def drop_empty_columns(
+    df: DataFrame, preserve: Iterable[str] = (), among: Iterable[str] | None = None
+) -> DataFrame:
+    return df.drop(*empty_columns(df, preserve, among))
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:

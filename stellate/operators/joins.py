@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-PROBE = "__probe"
-MATCH = "__match"
+PROBE, MATCH = "__probe", "__match"
 SPREAD = 1 << 20
+SPREAD_COLUMNS = 4
 
 
 def left_lookup(
@@ -17,26 +17,30 @@ def left_lookup(
     """Left join on ``source == right[key]``; the key column of the right side is dropped.
 
     A NULL source never matches. When the right side is too large to broadcast, all NULLs would
-    meet in one shuffle partition; they get a filler value instead, made from a hash of the row,
-    that spreads them evenly. A filler cannot match, since the join also asks for a source.
-    Spark broadcasts the right side only where its known size is below the session's threshold.
+    meet in one shuffle partition; they get a filler value instead, made from a hash of the first
+    columns (callers have the identifying ones there), that spreads them evenly. A filler cannot
+    match, since the join also asks for a source. Spark broadcasts the right side only where its
+    known size is below the session's threshold; hot sources are split by the adaptive skew join.
     """
     right = right.withColumnRenamed(key, MATCH)
     key_type = right.schema[MATCH].dataType
     source = source.try_cast(key_type)
-    if spread_nulls:
-        row_hash = F.pmod(F.xxhash64(*(f"`{c}`" for c in df.columns)), F.lit(SPREAD))
-        if isinstance(key_type, StringType):
-            filler = F.concat(F.lit("\0"), row_hash.cast("string"))
-        else:
-            filler = (-1 - row_hash).cast(key_type)
-        left = df.withColumn("__present", source.isNotNull())
-        left = left.withColumn(PROBE, F.coalesce(source, filler))
-        condition = (F.col(PROBE) == F.col(MATCH)) & F.col("__present")
+    matched = F.col(PROBE) == F.col(MATCH)
+    if not spread_nulls:
+        left = df.select("*", source.alias(PROBE))
+        return left.join(right, matched, "left").drop(PROBE, MATCH)
+    identity = (f"`{c}`" for c in df.columns[:SPREAD_COLUMNS])
+    row_hash = F.pmod(F.xxhash64(*identity), F.lit(SPREAD))
+    if isinstance(key_type, StringType):
+        filler = F.concat(F.lit("\0"), row_hash.cast("string"))
     else:
-        left = df.withColumn(PROBE, source)
-        condition = F.col(PROBE) == F.col(MATCH)
-    return left.join(right, condition, "left").drop(PROBE, MATCH, "__present")
+        filler = (-1 - row_hash).cast(key_type)
+    # The probe is a column of its own: as a join key, a long expression makes planning slow.
+    left = df.select(
+        "*", F.coalesce(source, filler).alias(PROBE), source.isNotNull().alias("__present")
+    )
+    joined = left.join(right, matched & F.col("__present"), "left")
+    return joined.drop(PROBE, MATCH, "__present")
 
 
 def one_per_key(df: DataFrame, key: str, values: list[str], order_by: list[str]) -> DataFrame:

@@ -74,6 +74,11 @@ def standardize_stage(c):
 def candidates(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}) -> Cleaned:
     v = candidate_values
     df = cleanup.keep_active(df)
+    # Every row survives the expansion, so columns that pass through it are checked before it.
+    yearly = [*v.STAGE_BY_YEAR, *v.INCLUSION_BY_YEAR, v.STAGE_ID_2025]
+    dropped = [c for c in v.DROPPED if c not in yearly]
+    df = cleanup.drop_columns(keep_row_order(df), [*dropped, *VALIDITY])
+    df = cleanup.drop_empty_columns(df, preserve=yearly)
     if "vin_rdstageproducts" in lookups and v.STAGE_ID_2025 in df.columns:
         df = lookup_name(
             df,
@@ -84,14 +89,12 @@ def candidates(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}) ->
             "stage_2025",
         )
     df = normalize_inclusion(df).drop(v.STAGE_ID_2025)
-    df = scd2_expand(
-        df,
-        [
-            YearlyGroup("new_currentrdstage", v.STAGE_BY_YEAR),
-            YearlyGroup("includeinpipeline", v.INCLUSION_BY_YEAR, "bigint"),
-        ],
-    )
-    df = trimmed(df, v.DROPPED, {}, VALIDITY)
+    histories = [
+        YearlyGroup("new_currentrdstage", v.STAGE_BY_YEAR),
+        YearlyGroup("includeinpipeline", v.INCLUSION_BY_YEAR, "bigint"),
+    ]
+    df = scd2_expand(df, histories)
+    df = cleanup.drop_empty_columns(df, among=[h.out for h in histories])
     df = cleanup.update_columns(
         df, {"new_ctregistrylink": text.registry_link(col("new_ctregistrylink"))}
     )

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stellate.config.optionsets import PREFIX
+from stellate.functions import codes
 from stellate.operators import bridges, contract, dimensions, keys, lookups, quality, temporal
 from stellate.operators.cleanup import col, col_or_null
 from stellate.operators.joins import left_lookup
@@ -20,7 +21,6 @@ from stellate.sources.layers import Layer, row_counts
 
 METADATA = "_etl_metadata"
 SYNC_LOG = "_sync_log"
-DATE_DIMENSION = "dim_date"
 # Source columns that give the load order, as far as a table has them.
 ORDER = (SOURCE_ROW_ID, ROW_ID, "valid_from")
 
@@ -51,9 +51,18 @@ class Star:
 
 
 def source_columns(columns: Iterable[kinds.ColumnSpec]) -> list[str]:
+    """Source columns that the described columns are made from."""
     names: list[str] = []
     for c in columns:
-        names.extend(c.columns if isinstance(c, kinds.Calc) else (c.column,))
+        match c:
+            case kinds.Calc():
+                names.extend(c.columns)
+            case kinds.CompositeFk(dimension):
+                names.extend(source_columns(star_map.TABLES[dimension].columns.values()))
+            case kinds.ViaFact():
+                pass
+            case _:
+                names.append(c.column)
     return list(dict.fromkeys(names))
 
 
@@ -70,25 +79,31 @@ def evaluate(
         return col_or_null(df, name)
 
     plain: dict[str, Column] = dict(keep)
+    lookups_left: dict[str, kinds.ColumnSpec] = {}
     for out, c in columns.items():
         match c:
             case kinds.Source(column):
                 plain[out] = get(column)
             case kinds.Calc(build):
                 plain[out] = build(get)
-            case kinds.Label(column):
-                known = column in df.columns
-                plain[f"__{out}"] = lookups.option_code(df, column) if known else get(column)
-            case kinds.Iso(column):
-                plain[f"__{out}"] = get(column)
-            case kinds.Fk(_, column, derive):
-                plain[f"__{out}"] = derive(get(column)) if derive else get(column)
             case kinds.CompositeFk(dimension):
                 used = source_columns(star_map.TABLES[dimension].columns.values())
                 plain.update({f"__{out}_{n}": get(n) for n in used})
+                lookups_left[out] = c
+            case kinds.Label(column) | kinds.Iso(column) | kinds.Fk(_, column):
+                if column not in df.columns:
+                    plain[out] = F.lit(None)
+                    continue
+                probe = get(column)
+                if isinstance(c, kinds.Label):
+                    probe = lookups.option_code(df, column)
+                elif isinstance(c, kinds.Fk) and c.derive:
+                    probe = c.derive(probe)
+                plain[f"__{out}"] = probe
+                lookups_left[out] = c
     result = df.select(*(c.alias(n) for n, c in plain.items()))
 
-    for out, c in columns.items():
+    for out, c in lookups_left.items():
         probe = col(f"__{out}")
         match c:
             case kinds.Label(column, option_set):
@@ -126,19 +141,21 @@ def composite_key(star: Star, df: DataFrame, dimension: str, out: str) -> DataFr
     return df.join(right, condition, "left").drop(*(f"__match_{n}" for n in sources))
 
 
-def number(df: DataFrame, table: kinds.Table, order_by: Sequence[str]) -> DataFrame:
-    """Add the table's key in load order; a hash of the row settles ties."""
-    tied = df.withColumn("__tie", F.xxhash64(*(f"`{c}`" for c in df.columns)))
-    return keys.surrogate_key(tied, table.pk, [*order_by, "__tie"])
+def numbered(df: DataFrame, table: kinds.Table, extra: Sequence[str] = ()) -> DataFrame:
+    """The source columns the table needs, with its key in load order; a hash settles ties.
 
-
-def load_order(df: DataFrame) -> dict[str, Column]:
-    return {f"__order_{c}": col(c) for c in ORDER if c in df.columns}
+    Rows are numbered before they meet the lookups: what is sorted and written is narrow, and
+    the joins run once.
+    """
+    order = [c for c in (*ORDER, *extra) if c in df.columns]
+    needed = dict.fromkeys((*order, *extra, *source_columns(table.columns.values())))
+    narrow = df.select(*(col(c) for c in needed if c in df.columns))
+    tied = narrow.withColumn("__tie", F.xxhash64(*(f"`{c}`" for c in narrow.columns)))
+    return keys.surrogate_key(tied, table.pk, [*order, "__tie"])
 
 
 def dimension_rows(star: Star, table: kinds.Dimension, df: DataFrame) -> DataFrame:
-    order = load_order(df)
-    return number(evaluate(star, df, table.columns, order), table, list(order))
+    return evaluate(star, numbered(df, table), table.columns, {table.pk: col(table.pk)})
 
 
 def distinct_dimension_rows(
@@ -165,27 +182,20 @@ def phase_dimension_rows(star: Star, table: kinds.PhaseDimension, df: DataFrame)
 
 
 def fact_rows(star: Star, table: kinds.Fact, df: DataFrame) -> DataFrame:
-    order = load_order(df)
-    if not table.infill:
-        return number(evaluate(star, df, table.columns, order), table, list(order))
-    # The rows are joined first and multiplied last; the date is then looked up once, for
-    # originals and copies alike.
-    dated = {
-        out: c
-        for out, c in table.columns.items()
-        if isinstance(c, kinds.Fk) and c.dimension == DATE_DIMENSION
-    }
-    others = {out: c for out, c in table.columns.items() if out not in dated}
-    ends = {"__from": col_or_null(df, "valid_from"), "__to": col_or_null(df, "valid_to")}
-    rows = evaluate(star, df, others, {**order, **ends})
-    rows = temporal.year_infill(rows, "__from", "__to", "is_active_flag", "__year")
-    key_map, natural = star.key_map(DATE_DIMENSION)
-    pk = star_map.TABLES[DATE_DIMENSION].pk
-    for out, c in dated.items():
+    columns = dict(table.columns)
+    extra: list[str] = []
+    if table.infill:
+        # Originals and copies carry one date, so the date dimension is joined once for both.
+        date = columns["date_key"]
+        df = df.withColumns({c: col_or_null(df, c) for c in ("valid_from", "valid_to")})
+        df = df.withColumn("__active", codes.is_null_flag(col("valid_to")))
+        df = temporal.year_infill(df, flag="__active", out="__year")
         first_day = F.concat(F.col("__year").cast("string"), F.lit("-01-01"))
-        date = F.coalesce(first_day, c.derive(F.col("__from")))
-        rows = left_lookup(rows, date, key_map.withColumnRenamed(pk, out), natural)
-    return number(rows, table, [*order, "__year"])
+        df = df.withColumn("__date", F.coalesce(first_day, date.derive(col("valid_from"))))
+        columns["is_active_flag"] = kinds.Source("__active")
+        columns["date_key"] = kinds.Fk(date.dimension, "__date")
+        extra = ["__year", "__active", "__date"]
+    return evaluate(star, numbered(df, table, extra), columns, {table.pk: col(table.pk)})
 
 
 def bridge_keys(star: Star, table: kinds.Table) -> dict[str, tuple[str, DataFrame, str]]:
