@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stellate.functions.text import strip
@@ -100,18 +101,32 @@ def first_match(c: Column, rules: tuple[Rule, ...]) -> Column:
     return F.coalesce(*(F.when(r.matches(c), F.lit(r.label)) for r in rules))
 
 
-def phase(c: Column) -> Column:
-    text = F.replace(strip(F.upper(c.cast("string"))), F.lit("\n"), F.lit(" "))
-    return F.coalesce(first_match(text, PHASE_RULES), F.lit(UNKNOWN))
+@dataclass(frozen=True)
+class Classifier:
+    """Prepares a text and decides on its label. As a function it is one expression; ``apply``
+    prepares the text once per row for all rules, which is what large tables want."""
+
+    prepare: Callable[[Column], Column]
+    decide: Callable[[Column, Column], Column]
+
+    def __call__(self, c: Column) -> Column:
+        return self.decide(self.prepare(c), c)
+
 
+def apply(df: DataFrame, labels: Mapping[str, Classifier]) -> DataFrame:
+    """Replace the named columns by their labels; absent columns are ignored.
 
-def age_group(c: Column) -> Column:
-    blanks = F.translate(F.upper(c.cast("string")), "\xa0\xc2", "  ")
-    return F.coalesce(first_match(strip(blanks), AGE_RULES), F.lit(UNKNOWN))
+    One column after the other, so that the generated code of each stays small enough for the
+    JVM to compile.
+    """
+    for name, classifier in labels.items():
+        if name in df.columns:
+            df = df.withColumn("__text", classifier.prepare(F.col(name)))
+            df = df.withColumn(name, classifier.decide(F.col("__text"), F.col(name)))
+    return df.drop("__text")
 
 
-def sex(c: Column) -> Column:
-    text = strip(F.replace(F.upper(c.cast("string")), F.lit("<BR>"), F.lit(" ")))
+def _sex_label(text: Column) -> Column:
     answers = F.when(
         text.contains(SEX_FEMALE_YES) & text.contains(SEX_MALE_NO), F.lit("Female")
     ).when(text.contains(SEX_MALE_YES) & text.contains(SEX_FEMALE_NO), F.lit("Male"))
@@ -120,6 +135,20 @@ def sex(c: Column) -> Column:
     )
 
 
-def study_type(c: Column) -> Column:
-    """A known study type; any other value stays as it is, NULL included."""
-    return F.coalesce(first_match(F.upper(strip(c.cast("string"))), STUDY_TYPE_RULES), c)
+phase = Classifier(
+    lambda c: F.replace(strip(F.upper(c.cast("string"))), F.lit("\n"), F.lit(" ")),
+    lambda text, _: F.coalesce(first_match(text, PHASE_RULES), F.lit(UNKNOWN)),
+)
+age_group = Classifier(
+    lambda c: strip(F.translate(F.upper(c.cast("string")), "\xa0\xc2", "  ")),
+    lambda text, _: F.coalesce(first_match(text, AGE_RULES), F.lit(UNKNOWN)),
+)
+sex = Classifier(
+    lambda c: strip(F.replace(F.upper(c.cast("string")), F.lit("<BR>"), F.lit(" "))),
+    lambda text, _: _sex_label(text),
+)
+# A known study type; any other value stays as it is, NULL included.
+study_type = Classifier(
+    lambda c: F.upper(strip(c.cast("string"))),
+    lambda text, original: F.coalesce(first_match(text, STUDY_TYPE_RULES), original),
+)

@@ -11,7 +11,7 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-WHITESPACE_RUN = f"[{WHITESPACE}]+"
+OTHER_BLANKS = WHITESPACE.replace(" ", "")
 
 # Break tags that become a blank, the suffix separator, the registry address.
 BREAK_TAGS = ("<br>", "<BR>")
@@ -32,12 +32,17 @@ def empty_to_null(c: Column) -> Column:
 
 
 def normalize_whitespace(c: Column, remove_html: bool = True) -> Column:
-    """Break tags to blanks, whitespace runs to one blank, strip, empty text to NULL."""
+    """Break tags to blanks, whitespace runs to one blank, strip, empty text to NULL.
+
+    Other blanks become plain ones first: a pattern of one character is several times faster
+    over long texts than one with the whole set.
+    """
     text = c.cast("string")
     if remove_html:
         for tag in BREAK_TAGS:
             text = F.replace(text, F.lit(tag), F.lit(" "))
-    return empty_to_null(F.trim(F.regexp_replace(text, WHITESPACE_RUN, " ")))
+    text = F.translate(text, OTHER_BLANKS, " " * len(OTHER_BLANKS))
+    return empty_to_null(F.trim(F.regexp_replace(text, " {2,}", " ")))
 
 
 def before_first(c: Column, separator: str = SUFFIX) -> Column:

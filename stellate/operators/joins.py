@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-PROBE, MATCH = "__probe", "__match"
+SOURCE, PROBE, MATCH = "__source", "__probe", "__match"
 SPREAD = 1 << 20
 SPREAD_COLUMNS = 4
 
@@ -35,12 +35,11 @@ def left_lookup(
         filler = F.concat(F.lit("\0"), row_hash.cast("string"))
     else:
         filler = (-1 - row_hash).cast(key_type)
-    # The probe is a column of its own: as a join key, a long expression makes planning slow.
-    left = df.select(
-        "*", F.coalesce(source, filler).alias(PROBE), source.isNotNull().alias("__present")
-    )
-    joined = left.join(right, matched & F.col("__present"), "left")
-    return joined.drop(PROBE, MATCH, "__present")
+    # Source and probe are columns of their own: computed once per row, and short join keys.
+    left = df.select("*", source.alias(SOURCE))
+    left = left.select("*", F.coalesce(SOURCE, filler).alias(PROBE))
+    joined = left.join(right, matched & F.col(SOURCE).isNotNull(), "left")
+    return joined.drop(SOURCE, PROBE, MATCH)
 
 
 def one_per_key(df: DataFrame, key: str, values: list[str], order_by: list[str]) -> DataFrame:

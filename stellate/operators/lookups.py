@@ -150,7 +150,8 @@ def country_keys_by_text(
     """Lower-case text to country key: aliases in any case, then names."""
     spark = countries.sparkSession
     lowered = {a.lower(): t for a, t in aliases.items()}
-    names = countries.where(F.col(name).isNotNull()).groupBy(F.lower(name).alias("text"))
+    # An empty attempt must not match, so an empty name is no spelling.
+    names = countries.where(F.col(name) != "").groupBy(F.lower(name).alias("text"))
     names = names.agg(F.max(key).alias(key))
     targets = [(a, t.lower()) for a, t in lowered.items() if t is not None]
     alias_rows = spark.createDataFrame(targets, "alias string, text string")
@@ -183,7 +184,6 @@ def parse_locations(
         "__inner": text.strip(F.regexp_extract(seg, IN_PARENTHESES, 1)),
     }
     for out, attempt in attempts.items():
-        probe = F.nullif(F.lower(attempt), F.lit(""))
-        rows = left_lookup(rows, probe, table.withColumnRenamed(key, out), "text")
+        rows = left_lookup(rows, F.lower(attempt), table.withColumnRenamed(key, out), "text")
     resolved = rows.select(col(entity), F.coalesce(*attempts).alias(key))
     return resolved.where(F.col(key).isNotNull()).dropDuplicates([entity, key])

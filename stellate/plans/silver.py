@@ -125,17 +125,20 @@ def candidates(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}) ->
 
 def clinical_trials(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}) -> Cleaned:
     v = trial_values
-    df = cleanup.update_columns(
+    # These labels are never NULL, so their columns stay even when the source has no value.
+    labelled = ("vin_ctphase", "new_age", "new_sex")
+    df = trimmed(df, v.DROPPED, {}, ("valid_to", *labelled))
+    df = classify.apply(
         df,
         {
-            "vin_ctphase": classify.phase(col("vin_ctphase")),
-            "new_age": classify.age_group(col("new_age")),
-            "new_sex": classify.sex(col("new_sex")),
-            "new_studytype": classify.study_type(col("new_studytype")),
-            "vin_ctstatus": codes.replace_codes(col("vin_ctstatus"), v.STATUS_CODES),
+            "vin_ctphase": classify.phase,
+            "new_age": classify.age_group,
+            "new_sex": classify.sex,
+            "new_studytype": classify.study_type,
         },
     )
-    df = trimmed(df, v.DROPPED, v.RENAMED)
+    df = cleanup.replace_codes(df, "vin_ctstatus", v.STATUS_CODES)
+    df = cleanup.rename_columns(df, v.RENAMED)
     return df, removed_codes(option_sets, v.OPTION_CODES_REMOVED)
 
 

@@ -468,30 +468,29 @@ def _classified(expression: str) -> str:
 SELECT l_orderkey, l_linenumber, l_partkey, {expression} AS label FROM trial_text"""
 
 
-def _classify(spark, sf_dir, label):
-    return derive(spark, sf_dir, TRIAL_TEXT).select(
-        "l_orderkey", "l_linenumber", "l_partkey", label.alias("label")
-    )
+def _classify(spark, sf_dir, column, classifier):
+    df = classify.apply(derive(spark, sf_dir, TRIAL_TEXT), {column: classifier})
+    return df.select("l_orderkey", "l_linenumber", "l_partkey", F.col(column).alias("label"))
 
 
 @query(_classified(sql_phase("phase")))
 def classify_phase(spark, sf_dir):
-    return _classify(spark, sf_dir, classify.phase(F.col("phase")))
+    return _classify(spark, sf_dir, "phase", classify.phase)
 
 
 @query(_classified(sql_age("age")))
 def classify_age(spark, sf_dir):
-    return _classify(spark, sf_dir, classify.age_group(F.col("age")))
+    return _classify(spark, sf_dir, "age", classify.age_group)
 
 
 @query(_classified(sql_sex("sex")))
 def classify_gender(spark, sf_dir):
-    return _classify(spark, sf_dir, classify.sex(F.col("sex")))
+    return _classify(spark, sf_dir, "sex", classify.sex)
 
 
 @query(_classified(sql_study_type("study")))
 def classify_study_type(spark, sf_dir):
-    return _classify(spark, sf_dir, classify.study_type(F.col("study")))
+    return _classify(spark, sf_dir, "study", classify.study_type)
 
 
 # --- lookups -----------------------------------------------------------------------------------

@@ -169,9 +169,11 @@ def clean_frames(spark: SparkSession, sf_dir: str):
         "_optionset_new_targetcountry": "raw_options_country",
     }
     special = {
-        # Read by several star tables, so written once.
+        # The large clean tables are written once, as the clean-layer job does.
         "vin_candidates": lambda: stage(candidates()[0], "candidates"),
-        "vin_clinicaltrials": lambda: job(silver.clinical_trials, "raw_trials")[0],
+        "vin_clinicaltrials": lambda: stage(
+            job(silver.clinical_trials, "raw_trials")[0], "trials"
+        ),
         "vin_diseases": lambda: job(silver.diseases, "raw_diseases")[0],
         "vin_rdpriorities": lambda: job(silver.priorities, "raw_priorities")[0],
         "vin_developers": lambda: job(

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.parquet.filterPushdown": "true",
+    # The JVM does not compile methods beyond 8000 bytes; Spark then splits the code instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # A rebuild replaces whole tables only.
     "spark.sql.sources.partitionOverwriteMode": "static",
 }

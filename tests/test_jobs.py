@@ -4,7 +4,7 @@ import pytest
 
 from raw_layer import write_raw_layer
 from stellate.operators import quality
-from stellate.plans.silver import clean_layer
+from stellate.plans.silver import clean_layer, clinical_trials
 from stellate.plans.star import star_layer
 from stellate.plans.star_map import TABLES, foreign_keys
 from stellate.sources.layers import Layer
@@ -84,6 +84,15 @@ def test_clean_trials(layers, rows):
     )
 
 
+def test_a_trial_column_without_values_is_unknown(spark, rows):
+    df = spark.createDataFrame(
+        [("t1", None, None)], "vin_clinicaltrialid string, new_age string, new_studytype string"
+    )
+    cleaned, _ = clinical_trials(df)
+    assert cleaned.columns == ["clinicaltrialid", "age"]
+    assert rows(cleaned) == [("t1", "Unknown")]
+
+
 def test_star_has_all_tables_with_declared_columns(layers):
     _, _, star, _ = layers
     assert set(TABLES) <= set(star.tables()) and len(TABLES) == 25
