@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stellate.functions import text
 from stellate.operators.cleanup import col, col_or_null
+from stellate.operators.joins import own_exchange
 
 
 def attach_key(df: DataFrame, source: str, keys: DataFrame, natural: str, out: str) -> DataFrame:
@@ -18,9 +19,11 @@ def attach_key(df: DataFrame, source: str, keys: DataFrame, natural: str, out: s
     ``keys`` has two columns: the natural key and the surrogate key.
     """
     pk = next(c for c in keys.columns if c != natural)
-    right = keys.select(col(natural).alias("__match"), col(pk).alias(out))
-    probe = col(source).try_cast(right.schema["__match"].dataType)
-    return df.join(right, probe == F.col("__match"), "inner").drop("__match")
+    key_type = keys.schema[natural].dataType
+    right = keys.select(own_exchange(col(natural), key_type).alias("__match"), col(pk).alias(out))
+    probe = own_exchange(col(source).try_cast(key_type), key_type)
+    left = df.withColumn("__probe", probe)
+    return left.join(right, F.col("__probe") == F.col("__match")).drop("__probe", "__match")
 
 
 def bridge(

@@ -4,13 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DataType, IntegralType, StringType
 
 SOURCE, PROBE, MATCH = "__source", "__probe", "__match"
 SPREAD = 1 << 20
 SPREAD_COLUMNS = 4
 
 
+def own_exchange(c: Column, key_type: DataType) -> Column:
+    """The same key in a form that no earlier shuffle is partitioned by.
+
+    A key map is partitioned by its key from the aggregate that made it, and Spark would join on
+    that partitioning. The adaptive skew join only splits a hot key when both sides come straight
+    from a shuffle, so the narrow key map is shuffled once more under this form of the key.
+    """
+    if isinstance(key_type, StringType):
+        return F.concat(c, F.lit(""))
+    return F.bitwise_not(c) if isinstance(key_type, IntegralType) else c
+
+
 def left_lookup(
     df: DataFrame, source: Column, right: DataFrame, key: str, spread_nulls: bool = True
 ) -> DataFrame:
@@ -22,12 +34,12 @@ def left_lookup(
     match, since the join also asks for a source. Spark broadcasts the right side only where its
     known size is below the session's threshold; hot sources are split by the adaptive skew join.
     """
-    right = right.withColumnRenamed(key, MATCH)
-    key_type = right.schema[MATCH].dataType
+    key_type = right.schema[key].dataType
+    right = right.withColumn(MATCH, own_exchange(F.col(f"`{key}`"), key_type)).drop(key)
     source = source.try_cast(key_type)
     matched = F.col(PROBE) == F.col(MATCH)
     if not spread_nulls:
-        left = df.select("*", source.alias(PROBE))
+        left = df.select("*", own_exchange(source, key_type).alias(PROBE))
         return left.join(right, matched, "left").drop(PROBE, MATCH)
     identity = (f"`{c}`" for c in df.columns[:SPREAD_COLUMNS])
     row_hash = F.pmod(F.xxhash64(*identity), F.lit(SPREAD))
@@ -37,7 +49,8 @@ def left_lookup(
         filler = (-1 - row_hash).cast(key_type)
     # Source and probe are columns of their own: computed once per row, and short join keys.
     left = df.select("*", source.alias(SOURCE))
-    left = left.select("*", F.coalesce(SOURCE, filler).alias(PROBE))
+    probe = own_exchange(F.coalesce(SOURCE, filler), key_type)
+    left = left.select("*", probe.alias(PROBE))
     joined = left.join(right, matched & F.col(SOURCE).isNotNull(), "left")
     return joined.drop(SOURCE, PROBE, MATCH)
 

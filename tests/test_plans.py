@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from stellate.operators import keys, temporal
+from stellate.operators.bridges import attach_key
 from stellate.plans import silver
 from stellate.queries.inputs import base, raw
 
@@ -64,3 +65,45 @@ def test_large_lookup_is_not_broadcast(spark):
 
 def test_raw_tables_are_whole(spark, sf_dir):
     assert raw(spark, sf_dir, "raw_developers").count() == base(spark, sf_dir, "lineitem").count()
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.mark.parametrize("kind", ["resolve", "composite", "bridge", "integer"])
+def test_a_hot_key_is_split(spark, kind):
+    """A third of the rows share one key and nothing may be broadcast."""
+    before = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    try:
+        ids = spark.range(1000)
+        dim = ids.select(
+            (F.col("id") + 1).alias("pk"), F.concat(F.lit("n"), "id").alias("n"), F.col("id").alias("i")
+        )
+        hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000)
+        df = spark.range(150000, numPartitions=8).select(
+            "id", hot.cast("bigint").alias("t"), F.concat(F.lit("n"), hot).alias("s")
+        )
+        if kind == "resolve":
+            out = keys.fk_resolve(df, F.col("s"), dim, "n", "pk", "k")
+        elif kind == "composite":
+            out = keys.fk_composite(df, {"n": F.col("s")}, dim, "pk", "k")
+        elif kind == "integer":
+            out = keys.fk_resolve(df, F.col("t"), dim, "i", "pk", "k")
+        else:
+            out = attach_key(df, "s", keys.key_map(dim, "n", "pk"), "n", "k")
+        found = out.collect()
+        final = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(found) == 150000 and all(r.k == r.t + 1 for r in found)
+    assert "skew=true" in final
