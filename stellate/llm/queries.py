@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import quality_rules
+from stellate.llm import decontamination, quality_rules, secret_ledger
 from stellate.sources.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,129 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~failed & (rule == 0)).alias("kept"),
         rule.alias("rule"),
     )
+
+
+def _either_case(text: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in text)
+
+
+_SECRET_SQL_PATTERNS = {r.kind: r.pattern for r in secret_ledger.RULES} | {
+    # RE2 folds a few non-ASCII letters into ASCII ones, so the letters are spelled out.
+    "assign": "(" + "|".join(_either_case(w) for w in ("password", "passwd", "secret", "token"))
+    + "|" + _either_case("api") + "_?" + _either_case("key") + ")"
+    + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+}
+
+
+def _secret_sql() -> str:
+    parts = []
+    for i, rule in enumerate(secret_ledger.RULES):
+        pattern = "'" + _SECRET_SQL_PATTERNS[rule.kind].replace("'", "''") + "'"
+        parts.append(
+            f"SELECT doc_id, '{rule.kind}' AS kind, {i} AS rk, {rule.least} AS least, "
+            f"string_split_regex(t, {pattern}) AS gaps, regexp_extract_all(t, {pattern}, 0) AS wholes, "
+            f"regexp_extract_all(t, {pattern}, {rule.group}) AS parts FROM d"
+        )
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join(parts)}),
+x AS (
+  SELECT doc_id, kind, rk, least, unnest(gaps[1:len(wholes)]) AS gap, unnest(wholes) AS w,
+         unnest(parts) AS p, generate_subscripts(wholes, 1) AS k
+  FROM m WHERE len(wholes) > 0),
+y AS (
+  SELECT *, sum(length(gap) + length(w)) OVER (PARTITION BY doc_id, kind ORDER BY k) AS e FROM x),
+s AS (
+  SELECT doc_id, kind, rk, (e - length(w))::BIGINT AS st,
+         kind || ':' || (e - length(w))::BIGINT || ':' || e::BIGINT AS said
+  FROM y WHERE length(p) >= least),
+g AS (
+  SELECT doc_id,
+         count(*) FILTER (WHERE kind = 'assign') AS n_assign,
+         count(*) FILTER (WHERE kind = 'access') AS n_access,
+         count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+         string_agg(said, ',' ORDER BY st, rk) FILTER (WHERE rk < 3) AS base,
+         string_agg(said, ',' ORDER BY st, rk) AS spans
+  FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (doc_id)
+"""
+
+
+@query(_secret_sql())
+def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan every document as the one version of its path, with an empty ledger before."""
+    versions = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = stage(secret_ledger.scan(versions), "secret-ledger")
+    found = secret_ledger.findings(versions, ledger)
+
+    def joined(spans):
+        said = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(said, ",")
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.select(
+        "doc_id",
+        number("assign").alias("n_assign"),
+        number("access").alias("n_access"),
+        number("hex").alias("n_hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
+_LEAK_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, {_LEAK_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_LEAK_WORDS} AS w FROM benchmark),
+bi AS (SELECT item_id, w, least(len(w), 10) AS m FROM b WHERE len(w) > 0),
+bw AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS g
+  FROM bi, unnest(range(1, len(w) - m + 2)) AS t(i)),
+dw AS (
+  SELECT doc_id, i, m, array_to_string(w[i:i + m - 1], ' ') AS g
+  FROM d, (SELECT DISTINCT m FROM bw), unnest(range(1, greatest(len(w) - m + 2, 1))) AS t(i)),
+h AS (SELECT doc_id, i, m, item_id FROM dw JOIN bw USING (m, g)),
+hw AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_hit
+  FROM (SELECT DISTINCT doc_id, i, m FROM h), unnest(range(0, m)) AS t(k) GROUP BY doc_id),
+hi AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)
+""")
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word spans of the benchmark in every document."""
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", decontamination.content_key("doc_id", "text").alias("key")
+    )
+    found = decontamination.hits(documents, table(spark, sf_dir, "benchmark"), "key", "item_id")
+    items = found.groupBy("document").agg(
+        F.count(F.lit(1)).alias("n_items"),
+        F.sort_array(F.collect_list(F.col("item").cast("string"))).alias("items"),
+    )
+    hit = decontamination.hit_words(found).join(items, "document")
+    return (
+        documents.select("doc_id", "key", decontamination.count_words(F.col("text")).alias("n_words"))
+        .join(hit, F.col("key") == F.col("document"), "left")
+        .select(
+            "doc_id",
+            F.col("n_words").cast("long").alias("n_words"),
+            F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+            F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
+            F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
+            (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        )
+    )
