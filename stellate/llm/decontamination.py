@@ -168,11 +168,6 @@ def _hits_of_length(docs: DataFrame, bench: DataFrame, n: int, k: int) -> DataFr
     )
 
 
-def content_key(key: str, text: str) -> Column:
-    """Names a row by its id and text, so rows that only share the id stay apart."""
-    return F.struct(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text"))
-
-
 def hit_words(found: DataFrame) -> DataFrame:
     """Number of different word positions that any span covers, per document."""
     position = F.explode(

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import decontamination, quality_rules, secret_ledger
+from stellate.llm import decontamination, line_dedup, quality_rules, secret_ledger
+from stellate.llm.frames import content_key
 from stellate.sources.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,7 +152,7 @@ FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-word spans of the benchmark in every document."""
     documents = table(spark, sf_dir, "documents").select(
-        "doc_id", "text", decontamination.content_key("doc_id", "text").alias("key")
+        "doc_id", "text", content_key("doc_id", "text").alias("key")
     )
     found = decontamination.hits(documents, table(spark, sf_dir, "benchmark"), "key", "item_id")
     items = found.groupBy("document").agg(
@@ -171,3 +172,13 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
             (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
         )
     )
+
+
+@query()
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document after lines within one edit of an earlier line have gone."""
+    documents = table(spark, sf_dir, "documents").withColumn("key", content_key("doc_id", "text"))
+    dropped = stage(line_dedup.dropped_lines(documents, "key"), "lines-dropped")
+    return line_dedup.without_lines(documents, dropped, "key").select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
+    )
