@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import decontamination, line_dedup, quality_rules, secret_ledger
+from stellate.llm import decontamination, line_dedup, packing, quality_rules, secret_ledger
 from stellate.llm.frames import content_key
 from stellate.sources.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+#: Vocabulary files that every worker can open.
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 
 def query(sql: str | None = None):
     def register(function):
@@ -182,3 +186,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_lines(documents, dropped, "key").select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
     )
+
+
+@query()
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack the token ids of all documents into sequences of at most 4096 tokens."""
+    pieces = stage(
+        packing.token_pieces(table(spark, sf_dir, "documents"), "doc_id", "text", WORD_TOKENIZER), "token-pieces"
+    )
+    return packing.pack(pieces)
