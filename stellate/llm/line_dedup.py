@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.frames import free_name
+from stellate.llm.frames import bind, free_name
 from stellate.sources.staging import stage
 
 #: Length of the segments of the second filter, in code points.
@@ -248,21 +248,25 @@ def _nearest(lines: DataFrame, different: DataFrame) -> DataFrame:
     )
 
 
-def without_lines(documents: DataFrame, dropped: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """The documents with ``text`` rebuilt from the lines that stay, and the number that went.
+def without_lines(
+    documents: DataFrame, dropped: DataFrame, key: str, text: str = "text", into: tuple[str, str] = ("n_lines", "n_dropped")
+) -> DataFrame:
+    """The documents with ``text`` rebuilt from the lines that stay.
 
-    Adds ``n_lines`` and ``n_dropped``; a document all of whose lines went has the text ''.
+    ``into`` names two new columns: the lines before and the lines dropped. A document all of whose
+    lines went has the text ''.
     """
-    gone, number, of = (free_name(documents, c) for c in ("_gone", "_number", "_of"))
+    gone, of = free_name(documents, "_gone"), free_name(documents, "_of")
     by_document = dropped.groupBy(F.col("document").alias(of)).agg(F.collect_set("line").alias(gone))
-    value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    lines = F.split(value, "\n")
+    value = F.col(f"`{text}`")
+    lines = F.split(F.coalesce(value, F.lit("")), "\n")
     stays = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
-    rebuilt = F.array_join(F.transform(stays, lambda i: F.get(lines, i)), "\n")
+    rebuilt = F.array_join(bind(lines, lambda x: F.transform(stays, lambda i: F.get(x, i))), "\n")
+    untouched = F.col(gone).isNull()
     return (
         documents.join(by_document, F.col(f"`{key}`") == F.col(of), "left")
-        .withColumn("n_lines", F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.size(lines)).cast("long"))
-        .withColumn("n_dropped", F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).cast("long"))
-        .withColumn(text, F.when(F.col(gone).isNull(), F.col(f"`{text}`")).otherwise(rebuilt))
+        .withColumn(into[0], F.when(value.isNull(), 0).otherwise(F.size(lines)).cast("long"))
+        .withColumn(into[1], F.when(untouched, 0).otherwise(F.size(gone)).cast("long"))
+        .withColumn(text, F.when(untouched, value).otherwise(rebuilt))
         .drop(gone, of)
     )

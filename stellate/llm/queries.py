@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import decontamination, line_dedup, packing, quality_rules, secret_ledger
+from stellate.llm import decontamination, line_dedup, near_duplicates, packing, quality_rules, secret_ledger
 from stellate.llm.frames import content_key
 from stellate.sources.staging import stage
 
@@ -195,3 +195,16 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         packing.token_pieces(table(spark, sf_dir, "documents"), "doc_id", "text", WORD_TOKENIZER), "token-pieces"
     )
     return packing.pack(pieces)
+
+
+@query()
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 85 hundredths of their three-word shingles."""
+    settings = near_duplicates.Settings(shingle=3, percent=85, bands=32, rows=6, batch=32)
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), settings=settings)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_shingles",
+        "component_id",
+        (F.col("id") == F.col("component_id")).alias("kept"),
+    )
