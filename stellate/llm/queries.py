@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import decontamination, line_dedup, near_duplicates, packing, quality_rules, secret_ledger
+from stellate.llm import (
+    decontamination,
+    line_dedup,
+    near_duplicates,
+    packing,
+    quality_rules,
+    secret_ledger,
+    token_attribution,
+    training_order,
+)
 from stellate.llm.frames import content_key
 from stellate.sources.staging import stage
 
@@ -17,6 +26,7 @@ ORACLES: dict[str, str] = {}
 
 #: Vocabulary files that every worker can open.
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def query(sql: str | None = None):
@@ -208,3 +218,20 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "component_id",
         (F.col("id") == F.col("component_id")).alias("kept"),
     )
+
+
+@query()
+def op6_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document, from one encoding of the whole document."""
+    sections = token_attribution.line_sections(F.col("text"))
+    return token_attribution.section_tokens(
+        table(spark, sf_dir, "documents"), "doc_id", sections, BYTE_TOKENIZER, public_tokenizers.PATTERN
+    )
+
+
+@query()
+def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sequence of 2048 token ids in its slot and shard."""
+    return training_order.training_order(
+        table(spark, sf_dir, "documents"), "text", WORD_TOKENIZER, key=2024
+    )
