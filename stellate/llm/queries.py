@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stellate.llm import (
     decontamination,
+    html_text,
     line_dedup,
     near_duplicates,
     packing,
@@ -235,3 +236,12 @@ def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.training_order(
         table(spark, sf_dir, "documents"), "text", WORD_TOKENIZER, key=2024
     )
+
+
+@query()
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.main_text(pages, html_text.fit(pages)).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")
+    )
