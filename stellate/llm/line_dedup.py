@@ -180,7 +180,7 @@ def dropped_lines(
     if max_edits:
         halves = F.first("halves").alias("halves")
         different = stage(marked.groupBy("h1", "h2").agg(*folded, halves), "lines-different")
-        different = different.join(_nearest(lines, different), "first", "left")
+        different = different.join(_nearest(lines, different), F.col("h1") == F.col("line_id"), "left")
     else:
         different = marked.groupBy("h1", "h2").agg(*folded).withColumn("near", F.lit(None))
         different = different.withColumn("near", F.col("near").cast(different.schema["first"].dataType))
@@ -207,20 +207,23 @@ def _met(keys: DataFrame) -> DataFrame:
 
 
 def _nearest(lines: DataFrame, different: DataFrame) -> DataFrame:
-    """Earliest line within one edit of each different line that has one: first, near."""
-    halves = different.select("first", F.explode("halves").alias("key"))
-    partners = _met(halves).select("first").distinct()
-    texts = stage(
-        partners.join(
-            lines.select(F.struct("document", "line").alias("first"), "value").dropDuplicates(["first"]), "first"
-        ).withColumn("line_id", F.xxhash64("first", "value")),
-        "lines-halves-met",
-    )
+    """Earliest line within one edit of each different line that has one: line_id, near.
+
+    Lines are named by their first hash. Should two lines ever share it, one of them is compared
+    with the other's text and stays.
+    """
+    halves = different.select(F.col("h1").alias("line_id"), F.explode("halves").alias("key"))
+    partners = _met(halves).select("line_id").distinct()
+    values = lines.select(F.xxhash64("value").alias("line_id"), "value").dropDuplicates(["line_id"])
+    firsts = different.select(F.col("h1").alias("line_id"), "first")
+    texts = stage(partners.join(values, "line_id").join(firsts, "line_id"), "lines-halves-met")
     rows = texts.select("line_id", "value")
     segments = _met(rows.mapInArrow(_segment_keys, "line_id long, key long, shorter int, segment int"))
     near_met = segments.groupBy("line_id").agg(F.collect_set(F.struct("shorter", "segment")).alias("met"))
-    variants = rows.join(near_met, "line_id").select("line_id", "value", "met").mapInArrow(
-        _variant_keys, "line_id long, key long, role byte"
+    variants = (
+        rows.join(near_met, "line_id")
+        .select("line_id", "value", "met")
+        .mapInArrow(_variant_keys, "line_id long, key long, role byte")
     )
     ordered = stage(_met(variants).join(texts.select("line_id", "first"), "line_id"), "line-variants")
     by_key = ordered.groupBy("key").agg(
@@ -233,18 +236,18 @@ def _nearest(lines: DataFrame, different: DataFrame) -> DataFrame:
     )
     chosen = (
         ordered.join(by_key, "key")
-        .select("first", candidate.alias("near"))
+        .select("line_id", "first", candidate.alias("near"))
         .filter(F.col("near") < F.col("first"))
-        .groupBy("first")
+        .groupBy("line_id")
         .agg(F.min("near").alias("near"))
     )
-    own = texts.select("first", F.col("value").alias("own"))
+    own = texts.select("line_id", F.col("value").alias("own"))
     other = texts.select(F.col("first").alias("near"), F.col("value").alias("other"))
     return (
-        chosen.join(own, "first")
+        chosen.join(own, "line_id")
         .join(other, "near")
         .filter(F.levenshtein("own", "other", 1) >= 0)
-        .select("first", "near")
+        .select("line_id", "near")
     )
 
 
