@@ -15,6 +15,7 @@ from stellate.llm import (
     near_duplicates,
     packing,
     quality_rules,
+    repeated_bytes,
     secret_ledger,
     token_attribution,
     training_order,
@@ -245,3 +246,12 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(pages, html_text.fit(pages)).select(
         "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")
     )
+
+
+@query()
+def op5_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document outside strings of 400 bytes that start more than once."""
+    found = repeated_bytes.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
