@@ -1,9 +1,10 @@
 """Near-duplicate documents: MinHash bands, sequential Bayesian verification, exact confirmation.
 
 A document is the set of hashes of its shingles (runs of words). Documents with equal sets are one
-class, represented by the smallest id. Classes meet in bands of their MinHash signatures; each
-bucket of a band links its members to a leader, and buckets choose different leaders, so a class
-in a large group of near copies meets many of them without listing the pairs of the group.
+class, represented by the smallest id. Classes meet in bands of their MinHash signatures. Each
+bucket of a band links its members to a leader, the member that meets most others over all bands:
+in a large group of near copies that is the text they were made from, and the pairs of the group
+need not be listed.
 
 A pair is compared batch by batch over the signature: after each batch it goes as soon as the
 posterior probability that its similarity reaches the threshold falls below ``miss``. The pairs
@@ -239,13 +240,17 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     signed = stage(signatures(documents, key, text, s), "signatures")
     with_set = signed.filter("n > 0")
     classes = with_set.groupBy("n", "set1", "set2").agg(F.min("id").alias("class"))
-    leaders = classes.select(F.col("class").alias("id"))
-    alone = stage(with_set.join(leaders, "id").dropDuplicates(["id"]), "signature-classes")
+    alone = stage(with_set.join(classes.select(F.col("class").alias("id")), "id").dropDuplicates(["id"]), "signature-classes")
     bands = alone.select("id", F.posexplode("bands").alias("band", "value"))
-    shared = bands.groupBy("band", "value").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct(F.xxhash64("id", "band"), "id")).alias("leader")).filter("k > 1")
-    members = stage(
-        bands.join(shared, ["band", "value"]).select("band", "value", "id", F.col("leader.id").alias("leader")), "band-members"
+    shared = bands.groupBy("band", "value").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    met = stage(bands.join(shared, ["band", "value"]), "band-members")
+    # The text that copies were made from shares more bands with them than they do with each other.
+    central = met.groupBy("id").agg(F.sum("k").alias("score"))
+    scored = met.join(central, "id").select("band", "value", "id", "score")
+    leaders = scored.groupBy("band", "value").agg(
+        F.max_by("id", F.struct(F.col("score"), -F.col("id"))).alias("leader")
     )
+    members = met.select("band", "value", "id").join(leaders, ["band", "value"])
     short = alone.select("id", "n", "signature")
     stars = members.filter("id != leader").select(*_pair(F.col("id"), F.col("leader"))).distinct()
     survivors = stage(_compared(stars, short, s), "near-survivors")
@@ -275,7 +280,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
         found = components(links)
 
     # What a leader did not connect: every member outside the largest component of its bucket.
-    placed = members.select("band", "value", "id").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = met.select("band", "value", "id").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     parts = placed.groupBy("band", "value", "component").agg(F.count(F.lit(1)).alias("k"))
     largest = parts.groupBy("band", "value").agg(
         F.max_by("component", F.struct(F.col("k"), -F.col("component"))).alias("main"),
