@@ -9,9 +9,10 @@ need not be listed.
 A pair is compared batch by batch over the signature: after each batch it goes as soon as the
 posterior probability that its similarity reaches the threshold falls below ``miss``. The pairs
 that survive are verified exactly on the full sets: first the most similar partner of each class,
-then the other pairs that are still in different components. Members of a bucket that are not yet
-in its largest component then meet all members of other components, so no link between components
-is left out because a leader was not similar enough.
+then the other pairs that are still in different components. Two members of a bucket that the leader
+does not connect can only be linked if they share shingles that it lacks, or if one has lost many
+of its shingles; such pairs are found by those shingles and sizes, so no link between components is
+left out because a leader was not similar enough.
 
 Texts without words, NULL and empty texts have no shingles and are linked with nothing. Shorter
 texts than a shingle are one shingle. Repeated rows are in one class.
@@ -198,17 +199,33 @@ def _compared(pairs: DataFrame, signed: DataFrame, settings: Settings) -> DataFr
     )
 
 
-def _verified(pairs: DataFrame, documents: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(ids, "id", "left_semi")
+def _sets(ids: DataFrame, documents: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
+    """The full shingle sets of some documents."""
+    texts = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
                 own = [shingle_set(x, settings.shingle).tobytes() for x in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["id", "shingles"])
 
+    some = texts.join(ids, "id", "left_semi").dropDuplicates(["id"])
+    return stage(some.mapInArrow(run, "id long, shingles binary"), "shingle-sets")
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+    b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+    return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "sa", "sb")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+
+
+def _verified(pairs: DataFrame, documents: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
+    """The pairs whose full sets reach the threshold."""
+
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -219,13 +236,64 @@ def _verified(pairs: DataFrame, documents: DataFrame, key: str, text: str, setti
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(mask) for i in (0, 1)], names=["a", "b"])
 
-    shingled = stage(texts.dropDuplicates(["id"]).mapInArrow(sets, "id long, shingles binary"), "shingle-sets")
-    a = shingled.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    b = shingled.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    joined = pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "sa", "sb")
+    joined = _with_sets(pairs, _sets(_ends(pairs), documents, key, text, settings))
     return stage(joined.mapInArrow(confirm, "a long, b long"), "near-links")
 
 
+def _across(around: DataFrame, documents: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
+    """Pairs of different components around one leader that could still be linked.
+
+    ``around`` has id, leader and component. Let B be the leader's set, x = B - X- + X+ the set of
+    one that is not linked with it, y = B - Y- + Y+ any other, and t the threshold. With r removed
+    and a added shingles in common, x and y are linked if
+    (r + a)(1 + t) >= t|Y+| + |Y-| + d, where d = t(|B| + |X+|) - (|B| - |X-|) > 0.
+    As r <= |Y-|, either they share an added shingle, or d <= t(|Y-| - |Y+|) = t(|B| - |y|). Of two
+    in different components one is not linked with the leader, so these two joins find all pairs.
+    """
+
+    def differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["id", "leader", "missed", "shrunk", "added"]
+        for batch in batches:
+            missed, shrunk, added = [], [], []
+            for x, base in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                x, base = np.frombuffer(x, np.uint64), np.frombuffer(base, np.uint64)
+                new = np.setdiff1d(x, base, assume_unique=True)
+                common = len(x) - len(new)
+                missed.append(settings.percent * (len(base) + len(new)) - 100 * common)
+                shrunk.append(settings.percent * (len(base) - len(x)))
+                added.append(new.view(np.int64))
+            columns = [pa.array(missed, pa.int64()), pa.array(shrunk, pa.int64()), pa.array(added, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=names)
+
+    pairs = around.select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
+    sets = _sets(_ends(pairs), documents, key, text, settings)
+    schema = "id long, leader long, missed long, shrunk long, added array<long>"
+    apart = stage(
+        _with_sets(pairs, sets).mapInArrow(differences, schema).join(around.select("id", "component").distinct(), "id"),
+        "near-differences",
+    )
+    new = apart.select("leader", "id", "component", F.explode("added").alias("shingle"))
+    shared = (
+        new.groupBy("leader", "shingle")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low < high")
+        .select("leader", "shingle")
+    )
+    new = new.join(shared, ["leader", "shingle"], "left_semi")
+    other = new.select("leader", "shingle", F.col("id").alias("y"), F.col("component").alias("cy"))
+    by_shingle = new.join(other, ["leader", "shingle"]).filter("id < y AND component != cy").select("id", "y")
+
+    smallest = apart.groupBy("leader").agg(F.max("shrunk").alias("most")).filter("most > 0")
+    near = (
+        apart.filter("missed > 0").join(smallest, "leader").filter("missed <= most")
+        .select("leader", F.col("id").alias("x"), "missed", F.col("component").alias("cx"))
+    )
+    small = apart.filter("shrunk > 0").select("leader", "id", "shrunk", "component")
+    by_size = near.join(small, "leader").filter("missed <= shrunk AND cx != component").select(F.col("id"), F.col("x").alias("y"))
+    both = by_shingle.unionByName(by_size)
+    return both.select(*_pair(F.col("id"), F.col("y"))).distinct()
+
+
 def _pair(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -279,22 +347,19 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
         links = links.unionByName(_verified(more, documents, key, text, s))
         found = components(links)
 
-    # What a leader did not connect: every member outside the largest component of its bucket.
-    placed = met.select("band", "value", "id").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    parts = placed.groupBy("band", "value", "component").agg(F.count(F.lit(1)).alias("k"))
-    largest = parts.groupBy("band", "value").agg(
-        F.max_by("component", F.struct(F.col("k"), -F.col("component"))).alias("main"),
-        F.count(F.lit(1)).alias("parts"),
-    ).filter("parts > 1")
-    mixed = placed.join(largest.select("band", "value", "main"), ["band", "value"])
-    outside = mixed.filter("component != main").select("band", "value", F.col("id").alias("x"), F.col("component").alias("cx"))
-    across = (
-        outside.join(mixed.select("band", "value", "id", "component"), ["band", "value"])
-        .filter("cx != component")
-        .select(*_pair(F.col("x"), F.col("id")))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
+    # What a leader did not connect: buckets that still hold several components.
+    own = F.coalesce("component", "id").alias("component")
+    placed = members.join(found, "id", "left").select("band", "value", "id", "leader", own)
+    mixed = (
+        placed.groupBy("band", "value")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low < high")
+        .select("band", "value")
+    )
+    around = stage(
+        placed.join(mixed, ["band", "value"], "left_semi").select("id", "leader", "component").distinct(), "near-around"
     )
+    across = _across(around, documents, key, text, s).join(stars, ["a", "b"], "left_anti")
     last = stage(_compared(across, short, s), "near-across")
     if not last.isEmpty():
         links = links.unionByName(_verified(last, documents, key, text, s))
