@@ -94,11 +94,13 @@ def read_trees(model) -> Trees:
 
 def passages(pages: DataFrame, key: str, html: str) -> list[str]:
     """Text between tags of at most SAMPLE_PAGES pages, those with the smallest hashes."""
+    order = F.xxhash64(key).alias("order")
+    chosen = pages.filter(F.col(html).isNotNull()).select(key, order).distinct().orderBy("order", key).limit(SAMPLE_PAGES)
+    # Bound: the keys of SAMPLE_PAGES pages. Pages travel only once they are chosen.
     some = (
-        pages.filter(F.col(html).isNotNull())
-        .select(F.substring(html, 1, 20_000).alias("html"), F.xxhash64(key).alias("order"))
-        .orderBy("order", "html")
-        .limit(SAMPLE_PAGES)
+        pages.join(F.broadcast(chosen), key)
+        .groupBy(key)
+        .agg(F.min(F.substring(html, 1, 20_000)).alias("html"))
     )
     found: set[str] = set()
     for row in some.collect():
