@@ -28,9 +28,12 @@ def replace_values(c: Column, mapping: Mapping) -> Column:
     return F.coalesce(map_strict(c, mapping), c)
 
 
-def replace_codes(c: Column, mapping: Mapping[int, int]) -> Column:
-    """``replace_values`` for integer codes; works on any integer width."""
-    return F.coalesce(F.try_element_at(_literal_map(mapping, "bigint"), as_code(c)), as_code(c))
+def replace_codes(c: Column, mapping: Mapping[int, int], kind: str = "bigint") -> Column:
+    """``replace_values`` for integer codes in a column of type ``kind``.
+
+    A value without an entry stays as it is, whole number or not; converting is another step.
+    """
+    return F.coalesce(F.try_element_at(_literal_map(mapping, "bigint"), as_code(c)).cast(kind), c)
 
 
 def as_code(c: Column) -> Column:

@@ -30,12 +30,16 @@ def bridge(
     df: DataFrame,
     keys: Mapping[str, tuple[str, DataFrame, str]],
     constants: Mapping[str, str] | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
     """Rows whose every key resolves, not deduplicated.
 
-    ``keys`` maps an output column to its source column, the key map and its natural key.
+    ``keys`` maps an output column to its source column, the key map and its natural key. With
+    ``distinct``, repeated source pairs are folded before the joins, where tasks do it on their own.
     """
     narrow = df.select(*{source: col(source) for source, _, _ in keys.values()}.values())
+    if distinct:
+        narrow = narrow.distinct()
     for out, (source, key_map, natural) in keys.items():
         narrow = attach_key(narrow, source, key_map, natural, out)
     fixed = [F.lit(v).alias(n) for n, v in (constants or {}).items()]

@@ -80,7 +80,11 @@ def replace_values(df: DataFrame, column: str, mapping: Mapping) -> DataFrame:
 
 
 def replace_codes(df: DataFrame, column: str, mapping: Mapping[int, int]) -> DataFrame:
-    return update_columns(df, {column: codes.replace_codes(col(column), mapping)})
+    """Replace known codes; other values stay, and so does the type of the column."""
+    if column not in df.columns:
+        return df
+    kind = df.schema[column].dataType.simpleString()
+    return update_columns(df, {column: codes.replace_codes(col(column), mapping, kind)})
 
 
 def normalize_text(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

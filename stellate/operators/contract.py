@@ -4,9 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    DataType,
+    FractionalType,
+    IntegerType,
+    IntegralType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from stellate.operators.cleanup import col
 
@@ -31,14 +40,25 @@ def table_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, column_type(c)) for c in columns])
 
 
+def _converted(df: DataFrame, field: StructField) -> Column:
+    """Numbers may arrive as text or as fractions of value zero, such as 100.0; 1.5 is bad."""
+    value = col(field.name)
+    if not isinstance(field.dataType, IntegralType):
+        return value.try_cast(field.dataType)
+    given = df.schema[field.name].dataType
+    if isinstance(given, (StringType, FractionalType)):
+        wide = value.try_cast("decimal(38, 10)")
+        whole = F.when(wide == F.floor(wide), wide).try_cast(field.dataType)
+        return F.coalesce(value.try_cast(field.dataType), whole) if isinstance(given, StringType) else whole
+    return value.try_cast(field.dataType)
+
+
 def conform(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exactly the declared columns and types; absent columns are NULL, bad numbers too."""
     schema = table_schema(columns)
     return df.select(
         *(
-            (col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None)).cast(
-                f.dataType
-            ).alias(f.name)
+            (_converted(df, f) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schema
         )
     )

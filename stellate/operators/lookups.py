@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from stellate.config import countries as country_values
+from stellate.config import iso3166
 from stellate.functions import codes, text
 from stellate.operators.cleanup import col
 from stellate.operators.joins import left_lookup, one_per_key
@@ -97,7 +98,9 @@ def resolve_country(
             codes.as_code(col(number)).alias("__number"), F.col(name).alias("__by_number")
         )
         by_number = one_per_key(by_number, "__number", ["__by_number"], ["__by_number"])
-        as_number = F.col("__raw").try_cast("double").try_cast("bigint")
+        # Java also reads 4d and 4f as numbers, so the form is tested first.
+        is_number = F.col("__raw").rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$")
+        as_number = F.when(is_number, F.col("__raw")).try_cast("double").try_cast("bigint")
         df = left_lookup(df, as_number, by_number, "__number")
         found = F.coalesce(found, F.col("__by_number"))
     if blocked:
@@ -106,20 +109,8 @@ def resolve_country(
 
 
 def iso_table(spark: SparkSession) -> DataFrame:
-    """Country name and three-letter code, from the ISO 3166 data of the Java runtime.
-
-    A country is also listed under the canonical name its runtime name is an alias of.
-    """
-    locale = spark._jvm.java.util.Locale
-    places = [locale("", code) for code in locale.getISOCountries()]
-    codes_by_name = {p.getDisplayCountry(locale.ENGLISH): p.getISO3Country() for p in places}
-    canonical = {
-        country_values.ALIASES[name]: code
-        for name, code in codes_by_name.items()
-        if country_values.ALIASES.get(name)
-    }
-    rows = list({**canonical, **codes_by_name}.items())
-    return spark.createDataFrame(rows, "name string, iso3 string")
+    """Country name and three-letter code of the standard; usual short names are extra rows."""
+    return spark.createDataFrame(iso3166.NAMES, "name string, iso3 string")
 
 
 def iso_code(

@@ -94,7 +94,13 @@ def last_sync(
     changes: Sequence[str] = ("records_added", "records_updated"),
     completed: str = "completed",
 ) -> DataFrame:
-    """Newest end of a completed run that changed something, as ``last_sync_date``."""
-    changed = reduce(lambda a, b: a | b, (col(c) > 0 for c in changes))
+    """Newest end of a completed run that changed something, as ``last_sync_date``.
+
+    An absent column counts as NULL: generic cleanup drops columns without any value.
+    """
+    present = [col(c) > 0 for c in changes if c in log.columns]
+    if not present or not {status, end_time} <= set(log.columns):
+        return log.agg(F.max(F.lit(None).cast("string")).alias("last_sync_date"))
+    changed = reduce(lambda a, b: a | b, present)
     done = log.where((col(status) == completed) & changed)
     return done.agg(F.max(col(end_time)).alias("last_sync_date"))

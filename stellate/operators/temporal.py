@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -118,6 +119,16 @@ def year_infill(
     return exploded.drop("__years", "__start", "__end", "__infill")
 
 
+def _marked(keys: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{c}`").alias(f"__of_{c}") for c in (*keys, CHUNK)]
+
+
+def _same(keys: Sequence[str]) -> Column:
+    """Equal keys and chunk; NULL is a key and a chunk like any other, as it is for windows."""
+    tests = [F.col(f"`{c}`").eqNullSafe(F.col(f"`__of_{c}`")) for c in (*keys, CHUNK)]
+    return reduce(lambda a, b: a & b, tests)
+
+
 def forward_fill(
     df: DataFrame,
     keys: Sequence[str],
@@ -125,8 +136,9 @@ def forward_fill(
     columns: Sequence[str],
     chunk: Column | None = None,
 ) -> DataFrame:
-    """Replace NULLs by the last value before them, per key.
+    """Replace NULLs by the last value before them, per key. NULL is a key of its own.
 
+    Without ``chunk``, all rows of one key are sorted in one task: for short histories only.
     ``chunk`` is a coarse form of the order, such as the month of a timestamp. With it, the rows
     of one key are filled chunk by chunk in separate tasks, and only the last value of every chunk
     travels to the next, so a key with very many rows does not end up in one task.
@@ -141,9 +153,9 @@ def forward_fill(
     ends = rows.groupBy(*keys, CHUNK).agg(*(F.max_by(c, known[c]).alias(c) for c in columns))
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(
-        *keys, CHUNK, *(F.last(c, ignorenulls=True).over(before).alias(f"__{c}") for c in columns)
+        *_marked(keys), *(F.last(c, ignorenulls=True).over(before).alias(f"__{c}") for c in columns)
     )
-    joined = filled.join(carried, [*keys, CHUNK], "left")
+    joined = filled.join(carried, _same(keys), "left")
     joined = joined.withColumns({c: F.coalesce(c, f"__{c}") for c in columns})
     return joined.select(*df.columns)
 
@@ -158,8 +170,8 @@ def next_boundary(
     local = F.lead(start).over(Window.partitionBy(*keys, CHUNK).orderBy(start))
     heads = rows.groupBy(*keys, CHUNK).agg(F.min(start).alias("__head"))
     following = F.lead("__head").over(Window.partitionBy(*keys).orderBy(CHUNK))
-    heads = heads.select(*keys, CHUNK, following.alias("__next"))
-    joined = rows.withColumn(out, local).join(heads, [*keys, CHUNK], "left")
+    heads = heads.select(*_marked(keys), following.alias("__next"))
+    joined = rows.withColumn(out, local).join(heads, _same(keys), "left")
     return joined.withColumn(out, F.coalesce(out, "__next")).select(*df.columns, out)
 
 

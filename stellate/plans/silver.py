@@ -105,18 +105,15 @@ def candidates(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}) ->
             "new_currentrdstage": standardize_stage(col("new_currentrdstage")),
             "pressuretype": codes.replace_values(col("pressuretype"), v.PRESSURE_TYPES),
             "product": codes.replace_values(col("product"), v.PRODUCT_TYPES),
-            "approvalstatus": codes.replace_codes(col("approvalstatus"), v.APPROVAL_STATUS_CODES),
-            "approvingauthority": codes.replace_codes(
-                col("approvingauthority"), v.APPROVING_AUTHORITY_CODES
-            ),
-            "indicationtype": codes.replace_codes(
-                col("indicationtype"), v.INDICATION_TYPE_CODES
-            ),
-            "preclinicalresultsstatus": codes.replace_codes(
-                col("preclinicalresultsstatus"), v.PRECLINICAL_RESULT_CODES
-            ),
         },
     )
+    for name, mapping in {
+        "approvalstatus": v.APPROVAL_STATUS_CODES,
+        "approvingauthority": v.APPROVING_AUTHORITY_CODES,
+        "indicationtype": v.INDICATION_TYPE_CODES,
+        "preclinicalresultsstatus": v.PRECLINICAL_RESULT_CODES,
+    }.items():
+        df = cleanup.replace_codes(df, name, mapping)
     if "includeinpipeline" in df.columns:
         flag = codes.member_flag(col("includeinpipeline"), [v.INCLUDED])
         df = df.withColumn("include_in_pipeline", flag)
@@ -170,25 +167,26 @@ def priorities(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}) ->
 
 def developers(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}) -> Cleaned:
     v = developer_values
-    if "accounts" in lookups and "vin_countries" in lookups:
-        df = left_enrich(
-            df,
-            cleanup.col_or_null(df, "_vin_developer_value"),
-            lookups["accounts"],
-            "accountid",
-            {
-                "name": "org_name",
-                "vin_organisationtype": "vin_organisationtype",
-                "address1_country": "address1_country",
-            },
-        )
-        df = resolve_country(
-            df, col("address1_country"), lookups["vin_countries"], "country_name"
-        ).drop("address1_country")
-        df = cleanup.update_columns(
-            df, {"vin_organisationtype": text.numeric_text_to_null(col("vin_organisationtype"))}
-        )
-    return trimmed(df, v.DROPPED, v.RENAMED), {}
+    if "accounts" not in lookups or "vin_countries" not in lookups:
+        return trimmed(df, v.DROPPED, v.RENAMED), {}
+    # Raw columns are settled before any join; countries are resolved on the few accounts, so the
+    # developers themselves are joined once.
+    source = "__account"
+    df = df.withColumn(source, cleanup.col_or_null(df, "_vin_developer_value"))
+    df = trimmed(df, v.DROPPED, v.RENAMED, preserve=("valid_to", source))
+    accounts = lookups["accounts"]
+    accounts = accounts.select(
+        col("accountid"),
+        cleanup.col_or_null(accounts, "name").alias("org_name"),
+        text.numeric_text_to_null(
+            cleanup.col_or_null(accounts, "vin_organisationtype").cast("string")
+        ).alias("org_type"),
+        cleanup.col_or_null(accounts, "address1_country").alias("__country"),
+    )
+    accounts = resolve_country(accounts, col("__country"), lookups["vin_countries"], "country_name")
+    added = ["org_name", "org_type", "country_name"]
+    df = left_enrich(df, col(source), accounts, "accountid", {c: c for c in added}).drop(source)
+    return cleanup.drop_empty_columns(df, among=added), {}
 
 
 @dataclass(frozen=True)

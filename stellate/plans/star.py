@@ -18,6 +18,7 @@ from stellate.plans import spec as kinds
 from stellate.plans import star_map
 from stellate.plans.silver import ROW_ID, SOURCE_ROW_ID
 from stellate.sources.layers import Layer, row_counts
+from stellate.sources.staging import staging_run
 
 METADATA = "_etl_metadata"
 SYNC_LOG = "_sync_log"
@@ -233,7 +234,7 @@ def country_branch(star: Star, table: kinds.CountryBridge, branch: kinds.Branch)
             )
             country = ("__code", by_code, "code")
     pairs = {table.entity_key: entity, "country_key": country}
-    return bridges.bridge(df, pairs, branch.constants)
+    return bridges.bridge(df, pairs, branch.constants, distinct=True)
 
 
 def table_rows(star: Star, table: kinds.Table) -> DataFrame:
@@ -331,10 +332,12 @@ def star_layer(
     Returns the row counts, the foreign-key report and the metadata of the finished layer.
     """
     clean = Layer(spark, clean_folder)
-    folder = star_folder or f"{clean.folder.rpartition('/')[0]}/star"
-    layer = Layer(spark, folder)
+    layer = Layer(spark, star_folder or clean.beside("star"))
+    if layer.same_place(clean):
+        raise ValueError(f"the star layer would overwrite the clean layer {clean.folder}")
     tables = {name: clean.read(name) for name in clean.tables()}
-    done = build(Star(spark, tables.get, layer.write, iso), parallel)
+    with staging_run(spark):
+        done = build(Star(spark, tables.get, layer.write, iso), parallel)
     log = tables.get(SYNC_LOG)
     if log is not None:
         entries = quality.last_sync(log).where("last_sync_date IS NOT NULL").select(

@@ -45,6 +45,11 @@ def or_text(column: str, default: str) -> Calc:
     return Calc(lambda c: F.coalesce(c(column).cast("string"), F.lit(default)), (column,))
 
 
+def or_number(column: str, default: int) -> Calc:
+    """The number itself, in its own type, or the default."""
+    return Calc(lambda c: F.coalesce(c(column), F.lit(default)), (column,))
+
+
 def stage_phase(c):
     return phase_name(F.nullif(c, F.lit("")))
 
@@ -256,7 +261,7 @@ FACTS: tuple[Table, ...] = (
             "trial_name": Source("name"),
             "trial_title": Source("title"),
             "trial_phase": Source("ctphase"),
-            "enrollment_count": or_text("cttenrolment", "0"),
+            "enrollment_count": or_number("cttenrolment", 0),
             "status": Label("ctstatus"),
             "sponsor": Source("sponsor"),
             "locations": Source("locations"),

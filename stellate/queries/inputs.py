@@ -26,8 +26,12 @@ CODE_2024 = """CAST(CASE o_orderstatus WHEN 'F' THEN 862890000 WHEN 'O' THEN 100
       ELSE 100000002 END AS BIGINT)"""
 
 
+# Every year of the orders stands for one of the yearly columns.
+_MEANS = {1995: "<= 1996", 1997: "= 1997", 1998: "= 1998", 1999: "IN (1999, 2000)", 2001: ">= 2001"}
+
+
 def _in_year(expression: str, year: int) -> str:
-    return f"max(CASE WHEN year(o_orderdate) = {year} THEN {expression} END)"
+    return f"max(CASE WHEN year(o_orderdate) {_MEANS[year]} THEN {expression} END)"
 
 
 COUNTRY = """CASE n_nationkey WHEN 0 THEN 'Turkey' WHEN 1 THEN 'United Kingdom'
@@ -45,7 +49,7 @@ SELECT o_custkey,
   {_in_year(STAGE_TEXT, 1997)} AS new_rdstage2021,
   {_in_year(STAGE_TEXT, 1998)} AS new_2023currentrdstage,
   {_in_year(STAGE_TEXT, 1999)} AS new_2024currentrdstage,
-  {_in_year("concat('g', o_orderpriority)", 2001)} AS _vin_currentrndstage_value,
+  {_in_year("concat(CASE WHEN o_custkey % 8 = 0 THEN 'none' ELSE 'g' END, o_orderpriority)", 2001)} AS _vin_currentrndstage_value,
   {_in_year(ANSWER, 1995)} AS vin_2019pcrpipelineinclusion,
   {_in_year(CODE, 1997)} AS new_includeinpipeline2021,
   {_in_year(ANSWER, 1998)} AS new_2023includeinevgendatabase,
@@ -64,8 +68,10 @@ SELECT c_custkey AS row_id, concat('c', c_custkey) AS vin_candidateid, c_name AS
     THEN 'Chemical vector control products' ELSE c_mktsegment END AS vin_product,
   CAST(CASE c_nationkey % 5 WHEN 0 THEN 862890001 WHEN 1 THEN 909670000 WHEN 2 THEN 909670005
     WHEN 3 THEN 909670006 END AS BIGINT) AS vin_approvalstatus,
-  CAST(909670000 + c_nationkey % 4 AS BIGINT) AS vin_approvingauthority,
-  CAST(100000000 + c_nationkey % 6 AS BIGINT) AS new_indicationtype,
+  CAST(909670000 + c_nationkey % 4 + CASE WHEN c_custkey % 11 = 0 THEN 900 ELSE 0 END AS BIGINT)
+    AS vin_approvingauthority,
+  CAST(100000000 + c_nationkey % 6 + CASE WHEN c_custkey % 13 = 0 THEN 900 ELSE 0 END AS BIGINT)
+    AS new_indicationtype,
   CAST(909670000 + c_nationkey % 5 AS BIGINT) AS vin_preclinicalresultsstatus,
   CAST(c_nationkey % 3 AS BIGINT) AS vin_whoprequalification,
   concat('Lab ', c_mktsegment, '; ', c_name, ' ;; Unit ', c_nationkey) AS vin_developersaggregated,
@@ -89,7 +95,7 @@ SELECT DISTINCT concat('g', o_orderpriority) AS vin_rdstageproductid,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'Phase IV - Drugs' WHEN '2-HIGH'
     THEN 'Clinical evaluation - Diagnostics' WHEN '3-MEDIUM' THEN 'Phase II - Vaccines'
     ELSE 'Development - part - Drugs' END AS vin_name
-FROM orders WHERE o_orderpriority <> '5-LOW'""",
+FROM orders""",
     "raw_rdstages": """
 SELECT DISTINCT concat('st', o_orderpriority, o_orderstatus) AS vin_rdstageid,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'Phase II' WHEN '2-HIGH' THEN 'Phase III'
@@ -191,22 +197,22 @@ FROM orders""",
 SELECT CAST(n_nationkey AS BIGINT) AS code,
   CASE WHEN n_nationkey % 5 = 0 THEN 'Sexual & reproductive health'
     ELSE concat('Area ', n_nationkey) END AS label, 'x' AS first_seen
-FROM nation WHERE n_nationkey <> 11""",
+FROM nation""",
     "raw_options_code": """
 SELECT CAST(909670000 + n_nationkey AS BIGINT) AS code, concat('Label ', n_nationkey) AS label,
   'x' AS first_seen
-FROM nation WHERE n_nationkey < 5""",
+FROM nation""",
     "raw_options_small": """
 SELECT CAST(n_nationkey AS BIGINT) AS code, concat('Small ', n_nationkey % 2) AS label,
   'x' AS first_seen
-FROM nation WHERE n_nationkey BETWEEN 1 AND 6""",
+FROM nation""",
     "raw_options_hundred": """
 SELECT CAST(100000000 + n_nationkey AS BIGINT) AS code, concat('Hundred ', n_nationkey) AS label,
   'x' AS first_seen
-FROM nation WHERE n_nationkey < 7""",
+FROM nation""",
     "raw_options_country": f"""
 SELECT CAST(n_nationkey AS BIGINT) AS code, {COUNTRY} AS label, 'x' AS first_seen
-FROM nation WHERE n_nationkey <> 12""",
+FROM nation""",
 }
 
 

@@ -171,12 +171,19 @@ def map_values_strict(spark, sf_dir):
 
 @query("""
 SELECT l_orderkey, l_linenumber, CAST(CASE l_linenumber WHEN 5 THEN 1 WHEN 6 THEN 2 WHEN 7 THEN 2
-  ELSE l_linenumber END AS BIGINT) AS merged FROM lineitem""")
+  ELSE l_linenumber END AS BIGINT) AS merged,
+  CASE WHEN l_linenumber IN (5, 6) THEN CAST(l_linenumber - 4 AS STRING) WHEN l_linenumber = 7
+    THEN '7.0' ELSE l_returnflag END AS merged_text FROM lineitem""")
 def code_consolidate(spark, sf_dir):
+    """Codes as numbers and as text; text without an entry stays as it is."""
+    line = F.col("l_linenumber")
+    text_code = F.when(line.isin(5, 6), line.cast("string")).when(line == 7, "7.0")
+    text_code = text_code.otherwise(F.col("l_returnflag"))
     return base(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         codes.replace_codes(F.col("l_linenumber"), {5: 1, 6: 2, 7: 2}).alias("merged"),
+        codes.replace_codes(text_code, {5: 1, 6: 2, 7: 2}, "string").alias("merged_text"),
     )
 
 
@@ -547,8 +554,7 @@ def optionset_label(spark, sf_dir):
     return df.select("o_orderkey", "text_label", "number_label")
 
 
-COUNTRY_OF_CUSTOMER = """
-SELECT c_custkey, vin_name AS country FROM customer JOIN raw_countries ON row_id = c_nationkey"""
+# Official names with commas, "and", accents and "Saint", short names, and names of no country.
 ISO = {
     "Turkey": "TUR",
     "United Kingdom": "GBR",
@@ -556,7 +562,39 @@ ISO = {
     "South Korea": "KOR",
     "France": "FRA",
     "Kosovo": "XKX",
+    "Bosnia and Herzegovina": "BIH",
+    "Trinidad and Tobago": "TTO",
+    "Antigua and Barbuda": "ATG",
+    "Saint Lucia": "LCA",
+    "Saint Vincent and the Grenadines": "VCT",
+    "Saint Kitts & Nevis": "KNA",
+    "Myanmar": "MMR",
+    "Hong Kong": "HKG",
+    "Congo": "COG",
+    "Congo, The Democratic Republic of the": "COD",
+    "Viet Nam": "VNM",
+    "Vietnam": "VNM",
+    "Cabo Verde": "CPV",
+    "Korea, Republic of": "KOR",
+    "Türkiye": "TUR",
+    "Syrian Arab Republic": "SYR",
+    "Côte d'Ivoire": "CIV",
+    "Cote D`Ivoire (Ivory Coast)": "CIV",
+    "Åland Islands": "ALA",
+    "Curaçao": "CUW",
+    "Réunion": "REU",
+    "Tanzania, United Republic of": "TZA",
+    "Venezuela, Bolivarian Republic of": "VEN",
+    "Micronesia, Federated States of": "FSM",
+    "Bonaire, Sint Eustatius and Saba": "BES",
+    "European Union": None,
+    "Atlantis": None,
 }
+# Every customer has one of these names, or the name of a nation.
+COUNTRY_OF_CUSTOMER = f"""
+SELECT c_custkey, CASE c_custkey % {len(ISO) + 1} {" ".join(
+    f"WHEN {i} THEN {sql_text(name)}" for i, name in enumerate(ISO))}
+  ELSE vin_name END AS country FROM customer JOIN raw_countries ON row_id = c_nationkey"""
 
 
 @query(f"SELECT c_custkey, country, {sql_map('country', ISO)} AS iso_code "

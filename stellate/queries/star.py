@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cache, reduce
 from threading import Lock
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stellate.operators import cleanup, lookups
 from stellate.plans import silver, star, star_map
-from stellate.queries.inputs import raw
+from stellate.queries.inputs import derive, raw
 from stellate.queries.operators import (
     SQL_INCLUSION,
     sql_age,
@@ -22,7 +23,8 @@ from stellate.queries.operators import (
     sql_study_type,
 )
 from stellate.queries.registry import query
-from stellate.sources.staging import stage
+from stellate.sources.layers import Layer
+from stellate.sources.staging import shared_folder, stage
 
 # --- the clean layer in SQL --------------------------------------------------------------------
 
@@ -591,19 +593,85 @@ def sql_key_sum(table: str) -> str:
     )
 
 
+def key_sums(table: str, df: DataFrame) -> DataFrame:
+    total = (F.coalesce(F.sum(c), F.lit(0)) for c in key_columns(table))
+    return df.agg(
+        F.lit(table).alias("table_name"),
+        F.count(F.lit(1)).alias("n_rows"),
+        reduce(lambda a, b: a + b, total).alias("key_sum"),
+    )
+
+
 @query(f"WITH {SQL_STAR}\n" + "\nUNION ALL ".join(map(sql_key_sum, star_map.TABLES)))
 def star_load(spark, sf_dir):
     """Build and write all 25 tables; report rows and the sum of all keys per table."""
     built = star.Star(spark, clean_frames(spark, sf_dir), lambda name, df: stage(df, name))
-    reports = [
-        df.agg(
-            F.lit(name).alias("table_name"),
-            F.count(F.lit(1)).alias("n_rows"),
-            reduce(
-                lambda a, b: a + b,
-                (F.coalesce(F.sum(c), F.lit(0)) for c in key_columns(name)),
-            ).alias("key_sum"),
-        )
-        for name, df in star.build(built).items()
-    ]
+    reports = [key_sums(name, df) for name, df in star.build(built).items()]
     return reduce(DataFrame.unionAll, reports)
+
+
+# Raw tables of the stored layer by name; the two option sets of the trial status are one there.
+RAW_LAYER = {
+    "vin_candidates": "raw_candidates",
+    "vin_clinicaltrials": "raw_trials",
+    "vin_diseases": "raw_diseases",
+    "vin_rdpriorities": "raw_priorities",
+    "vin_developers": "raw_developers",
+    "vin_rdstageproducts": "raw_rdstageproducts",
+    "vin_products": "raw_products",
+    "vin_rdstages": "raw_rdstages",
+    "vin_countries": "raw_countries",
+    "accounts": "raw_accounts",
+    "vin_sources": "raw_sources",
+    "vin_vin_candidate_vin_rdpriorityset": "raw_candidate_priority",
+    "vin_vin_candidate_accountset": "raw_candidate_account",
+    "vin_vin_clinicaltrial_vin_countryset": "raw_trial_country",
+    "_junction_vin_candidates_new_targetcountry": "raw_target_country",
+    "_junction_vin_candidates_new_agespecific": "raw_age_specific",
+    "_junction_vin_candidates_vin_approvingauthority": "raw_approving_authority",
+    "_optionset_new_indicationtype": "raw_options_hundred",
+    "_optionset_vin_preclinicalresultsstatus": "raw_options_code",
+    "_optionset_vin_approvalstatus": "raw_options_code",
+    "_optionset_vin_approvingauthority": "raw_options_code",
+    "_optionset_new_globalhealtharea": "raw_options_area",
+    "_optionset_new_agespecific": "raw_options_small",
+    "_optionset_vin_whoprequalification": "raw_options_small",
+    "_optionset_crc8b_dedicatedtowomenorchildren": "raw_options_small",
+    "_optionset_new_targetcountry": "raw_options_country",
+}
+SYNC_RUNS = """
+SELECT 'completed' AS status, CAST(o_orderkey AS BIGINT) AS records_added,
+  CAST(NULL AS BIGINT) AS records_updated, CAST(o_orderdate AS STRING) AS end_time FROM orders"""
+
+
+@query(f"WITH {SQL_STAR}\n" + "\nUNION ALL ".join(map(sql_key_sum, star_map.TABLES)) + f"""
+UNION ALL SELECT 'foreign keys', {len(star_map.foreign_keys())}, 0
+UNION ALL SELECT 'last_sync_date ' || max(CAST(o_orderdate AS VARCHAR)), 1, 0 FROM orders""")
+def layers_load(spark, sf_dir):
+    """Both jobs over stored layers: raw tables to a clean layer, the clean layer to the star.
+
+    The raw layer also holds an empty table, an unregistered one and a log of which one count
+    column has no value.
+    """
+    folder = f"{shared_folder(spark)}/layers-{uuid.uuid4().hex}"
+    raw_layer = Layer(spark, f"{folder}/raw")
+    for name, table in RAW_LAYER.items():
+        raw_layer.write(name, raw(spark, sf_dir, table))
+    both = raw(spark, sf_dir, "raw_options_hundred").unionByName(raw(spark, sf_dir, "raw_options_code"))
+    raw_layer.write("_optionset_vin_ctstatus", both)
+    raw_layer.write("vin_unregistered", raw(spark, sf_dir, "raw_sources"))
+    raw_layer.write("vin_empty", raw(spark, sf_dir, "raw_sources").limit(0))
+    raw_layer.write(star.SYNC_LOG, derive(spark, sf_dir, SYNC_RUNS))
+    silver.clean_layer(spark, raw_layer.folder, f"{folder}/clean")
+    report = star.star_layer(spark, f"{folder}/clean")
+    done = Layer(spark, f"{folder}/star")
+    reports = [key_sums(name, done.read(name)) for name in star_map.TABLES]
+    checked = report.fk_integrity.agg(
+        F.lit("foreign keys").alias("table_name"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("orphans").cast("bigint").alias("key_sum"),
+    )
+    told = report.metadata.groupBy(F.concat_ws(" ", "key", "value").alias("table_name")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.lit(0).cast("bigint").alias("key_sum")
+    )
+    return reduce(DataFrame.unionAll, [*reports, checked, told])

@@ -31,6 +31,17 @@ class Layer:
         path = self._path()
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
+    def beside(self, name: str) -> str:
+        """A folder of that name in the same parent; relative folders stay relative."""
+        parent = self._path().getParent()
+        return f"{parent.toString()}/{name}" if parent is not None and parent.toString() else name
+
+    def same_place(self, other: Layer) -> bool:
+        def whole(layer: Layer) -> str:
+            return layer._files().makeQualified(layer._path()).toString()
+
+        return whole(self) == whole(other)
+
     def tables(self) -> list[str]:
         """Table names found in the folder; none when the folder is missing."""
         if not self._files().exists(self._path()):

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,9 +30,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_runs: list[str] = []
+
+
+@contextmanager
+def staging_run(spark: SparkSession) -> Iterator[str]:
+    """A folder for all tables staged inside; deleted after success, kept after a failure.
+
+    Only for jobs that have written what they return: staged tables cannot be read afterwards.
+    """
+    folder = f"{shared_folder(spark)}/staged/run-{uuid.uuid4().hex}"
+    _runs.append(folder)
+    try:
+        yield folder
+    finally:
+        _runs.remove(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once and return a reader of the written table."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/staged/{label}-{uuid.uuid4().hex}"
+    folder = _runs[-1] if _runs else f"{shared_folder(spark)}/staged"
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -108,7 +108,9 @@ def test_value_maps(spark):
         "a": None, "b": "x", "c": "c", None: None,
     })
     check(spark, lambda c: codes.map_strict(c, {"Yes": 1}), {"Yes": 1, "yes": None, None: None})
-    check(spark, lambda c: codes.replace_codes(c, {5: 7}), {"5": 7, "6": 6, "x": None, None: None})
+    check(spark, lambda c: codes.replace_codes(c, {5: 7}, "string"), {
+        "5": "7", "6": "6", "x": "x", None: None,
+    })
     check(spark, lambda c: codes.member_flag(c, ["a"]), {"a": 1, "b": 0, None: 0})
     check(spark, lambda c: codes.case_code(c, 5, "y", "n"), {"5": "y", "x": "n", None: "n"})
     check(spark, lambda c: codes.case_text(c, {"a": "A"}), {"a": "A", "b": None, None: None})
