@@ -28,12 +28,13 @@ def scd2_expand(df: DataFrame, groups: Sequence[YearlyGroup]) -> DataFrame:
     """One row per date at which any group has a value.
 
     Each group shows its last known value; ``valid_to`` is the next date of the same source row.
-    A row without any value gives one row of NULLs. The number of dates is fixed by the groups,
+    A row without any value gives one row of NULLs; values that are none of the group's type count
+    as NULL. The number of dates is fixed by the groups,
     so everything is plain expressions inside one row: no shuffle, no window.
     """
     dates = sorted({d for g in groups for d in g.dates.values()})
     values = {
-        (g.out, d): col(c).cast(g.dtype)
+        (g.out, d): col(c).try_cast(g.dtype)
         for g in groups
         for c, d in g.dates.items()
         if c in df.columns

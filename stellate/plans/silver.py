@@ -78,7 +78,16 @@ def candidates(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}) ->
     yearly = [*v.STAGE_BY_YEAR, *v.INCLUSION_BY_YEAR, v.STAGE_ID_2025]
     dropped = [c for c in v.DROPPED if c not in yearly]
     df = cleanup.drop_columns(keep_row_order(df), [*dropped, *VALIDITY])
-    df = cleanup.drop_empty_columns(df, preserve=yearly)
+    df = normalize_inclusion(cleanup.drop_empty_columns(df, preserve=yearly))
+    histories = [
+        YearlyGroup("new_currentrdstage", v.STAGE_BY_YEAR),
+        YearlyGroup("includeinpipeline", v.INCLUSION_BY_YEAR, "bigint"),
+    ]
+    # A history has a value if any of its yearly columns has one. Only a history without any needs
+    # a look behind the lookup of 2025.
+    direct = [c for h in histories for c in h.dates if c in df.columns]
+    empty = set(cleanup.empty_columns(df, among=direct))
+    unsure = [h.out for h in histories if empty.issuperset(c for c in h.dates if c in direct)]
     if "vin_rdstageproducts" in lookups and v.STAGE_ID_2025 in df.columns:
         df = lookup_name(
             df,
@@ -88,13 +97,8 @@ def candidates(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}) ->
             text.before_last(F.col("vin_name")),
             "stage_2025",
         )
-    df = normalize_inclusion(df).drop(v.STAGE_ID_2025)
-    histories = [
-        YearlyGroup("new_currentrdstage", v.STAGE_BY_YEAR),
-        YearlyGroup("includeinpipeline", v.INCLUSION_BY_YEAR, "bigint"),
-    ]
-    df = scd2_expand(df, histories)
-    df = cleanup.drop_empty_columns(df, among=[h.out for h in histories])
+    df = scd2_expand(df.drop(v.STAGE_ID_2025), histories)
+    df = cleanup.drop_empty_columns(df, among=unsure)
     df = cleanup.update_columns(
         df, {"new_ctregistrylink": text.registry_link(col("new_ctregistrylink"))}
     )
