@@ -272,20 +272,34 @@ def _across(around: DataFrame, documents: DataFrame, key: str, text: str, settin
         _with_sets(pairs, sets).mapInArrow(differences, schema).join(around.select("id", "component").distinct(), "id"),
         "near-differences",
     )
-    new = apart.select("leader", "id", "component", F.explode("added").alias("shingle"))
+    # Both figures are in hundredths. One that missed the leader by far needs many shingles in
+    # common, so all but that many of its own, in a fixed order, are enough to meet the other.
+    smallest = apart.groupBy("leader").agg(F.greatest(F.max("shrunk"), F.lit(0)).alias("most"))
+    needed = F.ceil((F.col("missed") - F.col("most")) / F.lit(100 + settings.percent)).cast("int")
+    spared = F.greatest(F.size("added") - F.greatest(needed, F.lit(1)) + 1, F.lit(0))
+    first = (
+        apart.filter("missed > 0").join(smallest, "leader")
+        .select(
+            "leader", F.col("id").alias("x"), F.col("component").alias("cx"),
+            F.explode(F.slice("added", F.lit(1), spared)).alias("shingle"),
+        )
+    )
+    new = apart.select("leader", "id", "component", "missed", F.explode("added").alias("shingle"))
     shared = (
         new.groupBy("leader", "shingle")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .filter("low < high")
         .select("leader", "shingle")
     )
-    new = new.join(shared, ["leader", "shingle"], "left_semi")
-    other = new.select("leader", "shingle", F.col("id").alias("y"), F.col("component").alias("cy"))
-    by_shingle = new.join(other, ["leader", "shingle"]).filter("id < y AND component != cy").select("id", "y")
+    by_shingle = (
+        first.join(shared, ["leader", "shingle"], "left_semi")
+        .join(new, ["leader", "shingle"])
+        .filter("cx != component AND (missed <= 0 OR x < id)")
+        .select("id", F.col("x").alias("y"))
+    )
 
-    smallest = apart.groupBy("leader").agg(F.max("shrunk").alias("most")).filter("most > 0")
     near = (
-        apart.filter("missed > 0").join(smallest, "leader").filter("missed <= most")
+        apart.filter("missed > 0").join(smallest, "leader").filter("missed <= most AND most > 0")
         .select("leader", F.col("id").alias("x"), "missed", F.col("component").alias("cx"))
     )
     small = apart.filter("shrunk > 0").select("leader", "id", "shrunk", "component")
