@@ -19,12 +19,15 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor a learned rule rejects."""
-    name = free_name(docs, "_statistics")
-    counted = stage(quality_rules.with_statistics(docs, into=name), "documents-counted")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rules = quality_rules.learn(counted.select("doc_id", F.col(name).alias("statistics")), labels)
+    labelled = docs.select("doc_id", "text").join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    counted = quality_rules.with_statistics(labelled).select("doc_id", "statistics")
+    rules = quality_rules.learn(stage(counted, "text-statistics"), labels)
+    # Texts are counted again where they are: that moves and stores none of them.
+    name = free_name(docs, "_statistics")
     s = F.col(name)
-    return counted.filter(~quality_rules.base_failed(s) & (rules.rule(s) == 0)).drop(name)
+    kept = ~quality_rules.base_failed(s) & (rules.rule(s) == 0)
+    return quality_rules.with_statistics(docs, into=name).filter(kept).drop(name)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
