@@ -31,14 +31,16 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier line of the corpus has within one edit.
+    """Documents without the lines that an earlier line of the corpus equals or, from 30 characters
+    on, has within one edit.
 
     ``n_chars`` follows the new text. A document of which no line is left goes; a document that had
     no line to lose stays as it is.
     """
     columns, key = docs.columns, free_name(docs, "_key")
     keyed = docs.withColumn(key, content_key("doc_id", "text"))
-    dropped = stage(line_dedup.dropped_lines(keyed, key), "lines-dropped")
+    found = line_dedup.dropped_lines(keyed, key, min_chars=1, min_edit_chars=line_dedup.EDIT_CHARS)
+    dropped = stage(found, "lines-dropped")
     left = line_dedup.without_lines(keyed, dropped, key, into=("_n_lines", "_n_dropped"))
     changed = F.col("_n_dropped") > 0
     blank = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")

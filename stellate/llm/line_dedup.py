@@ -1,9 +1,10 @@
 """Line dedup with a deletion neighbourhood: lines within one edit of an earlier line go.
 
 Lines of at least ``min_chars`` characters are compared over the whole corpus, in the order of
-(document key, line number). A line is dropped if an equal line stands earlier, or a line within
-``max_edits`` edits (inserted, removed or replaced code points) of it. Earlier lines count whether
-they are kept or not, so the answer does not depend on any processing order.
+(document key, line number). A line is dropped if an equal line stands earlier, or, if both have at
+least ``min_edit_chars`` characters, a line within ``max_edits`` edits (inserted, removed or replaced
+code points) of it. Earlier lines count whether they are kept or not, so the answer does not depend
+on any processing order.
 
 Equal lines are folded first; each different line is represented by its earliest occurrence. Two
 lines within one edit agree on everything but one short segment, so lines first meet by halves and
@@ -34,6 +35,8 @@ from stellate.sources.staging import stage
 
 #: Length of the segments of the second filter, in code points.
 SEGMENT = 32
+#: Shorter lines go as exact copies only: one edit makes another word or number of them.
+EDIT_CHARS = 30
 #: Roles of a variant key: a character replaced, the whole line, a character removed.
 ROLES = ("replaced", "whole", "removed")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -157,11 +160,17 @@ def _half_keys(line: Column) -> Column:
 
 
 def dropped_lines(
-    documents: DataFrame, key: str, text: str = "text", min_chars: int = 30, max_edits: int = 1
+    documents: DataFrame,
+    key: str,
+    text: str = "text",
+    min_chars: int = 30,
+    max_edits: int = 1,
+    min_edit_chars: int | None = None,
 ) -> DataFrame:
     """One row per dropped line: document key, line number from 0, and the earlier line's place.
 
-    Columns: ``document``, ``line``, ``of_document``, ``of_line``.
+    ``min_chars=1`` drops copies of all lines that are not blank; ``min_edit_chars`` is ``min_chars``
+    if not given. Columns: ``document``, ``line``, ``of_document``, ``of_line``.
     """
     if max_edits not in (0, 1):
         raise ValueError("max_edits must be 0 or 1")
@@ -169,18 +178,19 @@ def dropped_lines(
         documents.select(F.col(f"`{key}`").alias("document"), F.posexplode(F.split(F.col(f"`{text}`"), "\n")).alias("line", "value"))
         .filter((F.char_length("value") >= min_chars) & F.col("value").rlike(r"[^\x20\x09-\x0D]"))
     )
+    editable = F.char_length("value") >= (min_chars if min_edit_chars is None else min_edit_chars)
     place = F.struct("document", "line")
     marked = lines.select(
         place.alias("place"),
         F.xxhash64("value").alias("h1"),
         F.xxhash64(F.lit(1), "value").alias("h2"),
-        *([_half_keys(F.col("value")).alias("halves")] if max_edits else []),
+        *([F.when(editable, _half_keys(F.col("value"))).alias("halves")] if max_edits else []),
     )
     folded = [F.min("place").alias("first"), F.count(F.lit(1)).alias("n")]
     if max_edits:
         halves = F.first("halves").alias("halves")
         different = stage(marked.groupBy("h1", "h2").agg(*folded, halves), "lines-different")
-        different = different.join(_nearest(lines, different), F.col("h1") == F.col("line_id"), "left")
+        different = different.join(_nearest(lines.filter(editable), different), F.col("h1") == F.col("line_id"), "left")
     else:
         different = marked.groupBy("h1", "h2").agg(*folded).withColumn("near", F.lit(None))
         different = different.withColumn("near", F.col("near").cast(different.schema["first"].dataType))

@@ -192,9 +192,10 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @query()
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document after lines within one edit of an earlier line have gone."""
+    """Every document after copies of earlier lines, and long lines within one edit of one, have gone."""
     documents = table(spark, sf_dir, "documents").withColumn("key", content_key("doc_id", "text"))
-    dropped = stage(line_dedup.dropped_lines(documents, "key"), "lines-dropped")
+    found = line_dedup.dropped_lines(documents, "key", min_chars=1, min_edit_chars=line_dedup.EDIT_CHARS)
+    dropped = stage(found, "lines-dropped")
     return line_dedup.without_lines(documents, dropped, "key").select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
     )

@@ -3,6 +3,7 @@ import random
 import pytest
 
 from stellate.llm import line_dedup as ld
+from stellate.llm.queries import op8_line_dedup
 
 
 def within_one(a, b):
@@ -74,3 +75,22 @@ def test_awkward_and_empty(awkward):
     dropped = ld.dropped_lines(awkward, "doc_id")
     assert [(r.document, r.line, r.of_document) for r in dropped.collect()] == [(7, 0, 6)]
     assert ld.dropped_lines(awkward.limit(0), "doc_id").count() == 0
+
+
+def test_copies_of_short_lines_go_too(spark):
+    """The floor holds for the one-edit comparison only."""
+    rows = cases(4) + [(200, "Les.\n \nLe."), (201, "Les.\n \n7"), (202, "7")]
+    df = spark.createDataFrame(rows, "k long, text string")
+    found = ld.dropped_lines(df, "k", min_chars=1, min_edit_chars=30)
+
+    def same(a, b):
+        return a == b or (min(len(a), len(b)) >= 30 and within_one(a, b))
+
+    assert {(r.document, r.line) for r in found.collect()} == brute(rows, same)
+
+
+def test_query_drops_copies_of_short_lines(spark, tmp_path):
+    rows = [(1, "Les.\nfirst"), (2, "Les.\n\nLe."), (3, "7\nfirst"), (4, "8"), (5, "7")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: (r.n_lines, r.n_dropped) for r in op8_line_dedup(spark, str(tmp_path)).collect()}
+    assert out == {1: (2, 0), 2: (3, 1), 3: (2, 1), 4: (1, 0), 5: (1, 1)}

@@ -43,3 +43,9 @@ def test_repeated_lines(spark, sf_dir, documents):
     docs = documents([(1, f"{line}\nanother line that is also long enough"), (2, line), (3, f"{line}!\nshort"), (4, None), (5, "")])
     out = {r.doc_id: (r.text, r.n_chars) for r in pipeline.drop_repeated_lines(spark, docs, sf_dir).collect()}
     assert out == {1: (docs.first().text, docs.first().n_chars), 3: ("short", 5), 4: (None, None), 5: ("", 0)}
+
+
+def test_short_repeated_lines(spark, sf_dir, documents):
+    docs = documents([(1, "Les.\nfirst"), (2, "Les.\nLe."), (3, "Les.")])
+    out = {r.doc_id: (r.text, r.n_chars) for r in pipeline.drop_repeated_lines(spark, docs, sf_dir).collect()}
+    assert out == {1: ("Les.\nfirst", 10), 2: ("Le.", 3)}
