@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -21,7 +22,7 @@ from stellate.llm import (
     training_order,
 )
 from stellate.llm.frames import content_key
-from stellate.sources.staging import stage
+from stellate.sources.staging import shared_folder, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -234,10 +235,13 @@ def op6_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every sequence of 2048 token ids in its slot and shard."""
-    return training_order.training_order(
+    """Every sequence of 2048 token ids, read back from the shard that holds it."""
+    ordered = training_order.training_order(
         table(spark, sf_dir, "documents"), "text", WORD_TOKENIZER, key=2024
     )
+    folder = f"{shared_folder(spark)}/staged/training-shards-{uuid.uuid4().hex}"
+    training_order.write_shards(ordered, folder)
+    return training_order.shard_rows(spark, folder)
 
 
 @query()

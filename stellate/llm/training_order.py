@@ -4,8 +4,9 @@ The token ids of all documents form one stream that is cut into sequences of equ
 last one may be short. A keyed Feistel network over the next power of four, walked until it falls
 into range, permutes sequence numbers; it needs the key and the number of sequences only, so any
 worker finds any slot without a shuffle or a stored table. Pieces of documents then meet by ranges
-of slots, and every range is assembled in order. A shard is a fixed number of slots and every
-sequence has the same size in bytes, so slot s is row ``s % per_shard`` of shard ``s // per_shard``.
+of slots that never cross a shard, and every range is assembled in order. A shard is a fixed number
+of slots and every sequence has the same size in bytes, so slot s is row ``s % per_shard`` of shard
+``s // per_shard``.
 
 NULL and empty texts are the end token alone. An empty table has no sequences. Repeated rows are
 encoded as often as they occur.
@@ -26,8 +27,11 @@ from stellate.sources.staging import stage
 
 LENGTH = 2048
 PER_SHARD = 8192
+#: Slots that one task assembles and writes as one file, at most.
+PER_FILE = 1024
 END = 1
 PAD = 0
+SCHEMA = "slot long, shard long, at_byte long, sequence long, n_tokens long, ids_crc32 long, ids binary"
 _ROUNDS = 6
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -86,10 +90,10 @@ def token_stream(documents: DataFrame, text: str, tokenizer: str) -> DataFrame:
 def training_order(
     documents: DataFrame, text: str, tokenizer: str, key: int, length: int = LENGTH, per_shard: int = PER_SHARD
 ) -> DataFrame:
-    """One row per sequence, sorted by slot inside ranges of slots.
+    """One row per sequence, sorted by slot inside ranges of slots; shards are whole numbers of ranges.
 
-    Columns: slot, shard, at_byte (place in the shard), sequence (number in the stream), n_tokens,
-    ids_crc32 (of the padded ids) and ids (``length`` little-endian unsigned 16-bit numbers).
+    Columns: slot, shard, at_byte (place in the shard's ids laid end to end), sequence (number in the
+    stream), n_tokens, ids_crc32 (of the padded ids) and ids (``length`` little-endian unsigned 16-bit numbers).
     """
     spark = documents.sparkSession
     stream = token_stream(documents, text, tokenizer)
@@ -150,22 +154,33 @@ def training_order(
         if done:
             yield flush()
 
-    schema = "slot long, shard long, at_byte long, sequence long, n_tokens long, ids_crc32 long, ids binary"
+    files = -(-per_shard // PER_FILE)
+    per_file = -(-per_shard // files)
+    in_shard = F.floor(F.col("slot") % per_shard / per_file)
+    range_number = (F.floor(F.col("slot") / per_shard) * files + in_shard).cast("int")
+    n_ranges = max(1, -(-n_sequences // per_shard) * files)
     pieces = stream.join(begins, "part").select((F.col("begin") + F.col("before")).alias("start"), "ids")
     return (
         pieces.mapInArrow(cut, "slot long, sequence long, at int, piece binary")
-        .repartitionByRange("slot")
+        .repartitionById(n_ranges, range_number)
         .sortWithinPartitions("slot", "at")
-        .mapInArrow(assemble, schema)
+        .mapInArrow(assemble, SCHEMA)
     )
 
 
 def write_shards(ordered: DataFrame, folder: str) -> None:
-    """One folder per shard; the rows of its files are in the order of their slots."""
-    ordered.write.partitionBy("shard").option("compression", "uncompressed").parquet(folder)
+    """One folder per shard; its files hold one range of slots each, in the order of their slots."""
+    rows = ordered.sortWithinPartitions("shard", "slot")  # the writer would sort by shard alone
+    rows.write.partitionBy("shard").option("compression", "uncompressed").parquet(folder)
+
+
+def shard_rows(spark, folder: str) -> DataFrame:
+    """The rows of all shards as they lie in their files."""
+    table = spark.read.schema(SCHEMA).parquet(folder)
+    return table.select("slot", "shard", "at_byte", "sequence", "n_tokens", "ids_crc32", "ids")
 
 
 def read_shards(spark, folder: str, first_slot: int = 0, per_shard: int = PER_SHARD) -> DataFrame:
     """The sequences from ``first_slot`` on; earlier shards are not opened."""
-    table = spark.read.parquet(folder)
+    table = shard_rows(spark, folder)
     return table.filter((F.col("shard") >= first_slot // per_shard) & (F.col("slot") >= first_slot)).orderBy("slot")

@@ -3,11 +3,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from stellate.llm import token_attribution as ta
 from stellate.llm import training_order as to
+from stellate.llm.queries import op9_training_order
 from stellate.llm.word_tokens import load
 
 BYTES = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -87,3 +89,28 @@ def test_training_order_round_trip(spark, sf_dir, awkward, tmp_path):
 
 def test_training_order_of_nothing(spark):
     assert to.training_order(spark.createDataFrame([], "text string"), "text", WORDS, key=1).count() == 0
+
+
+def test_query_returns_rows_of_written_shards(spark, tmp_path, documents):
+    docs = documents([(i, f"some words of document {i} " * 400) for i in range(60)] + [(60, None)])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    out = op9_training_order(spark, str(tmp_path))
+    files = out.inputFiles()
+    assert files and all("/training-shards-" in f and "/shard=" in f for f in files)
+    again = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    rows = to.training_order(again, "text", WORDS, key=2024)
+    assert out.columns == rows.columns and out.dtypes == rows.dtypes
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_files_hold_ordered_ranges_inside_a_shard(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(to, "PER_FILE", 40)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    to.write_shards(to.training_order(docs, "text", WORDS, key=5, length=256, per_shard=100), f"{tmp_path}/shards")
+    n = to.shard_rows(spark, f"{tmp_path}/shards").count()
+    found = []
+    for shard in sorted(tmp_path.glob("shards/shard=*"), key=lambda p: int(p.name[6:])):
+        for file in sorted(shard.glob("*.parquet")):
+            found.append(pq.ParquetFile(file).read(["slot"]).column(0).to_pylist())
+    assert n > 200 and sum(found, []) == list(range(n))
+    assert all(f[0] % 100 % 34 == 0 and len(f) <= 34 for f in found)
