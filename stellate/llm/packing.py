@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stellate.llm.frames import free_name
 from stellate.llm.word_tokens import load
 from stellate.sources.staging import stage
 
@@ -278,13 +279,17 @@ def pack(
     generations: int = GENERATIONS,
     population: int = POPULATION,
 ) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to pieces with a ``length`` of 1 to ``capacity``."""
-    names = pieces.columns
-    rest, n = pieces, pieces.count()
+    """Add ``sequence_id`` and ``offset`` to pieces with a ``length`` of 1 to ``capacity``.
+
+    Pieces are dealt to blocks by a number staged once, so that equal rows are spread as well.
+    """
+    names, place = pieces.columns, free_name(pieces, "_place")
+    rest = stage(pieces.withColumn(place, F.monotonically_increasing_id()), "pieces-numbered")
+    n = rest.count()
     done, level, before = [], 0, None
     while True:
         blocks = max(1, -(-n // block))
-        dealt = rest.withColumn("block", F.pmod(F.xxhash64(*names, F.lit(level)), F.lit(blocks)))
+        dealt = rest.withColumn("block", F.pmod(F.xxhash64(place, F.lit(level)), F.lit(blocks)))
         packed = stage(
             _pack_blocks(dealt, capacity, islands, epochs, generations, population).withColumn(
                 "sequence_id", (F.lit(level).cast("long") * (1 << 36) + F.col("block")) * (1 << 20) + F.col("bin")
@@ -297,5 +302,5 @@ def pack(
             done.append(packed)
             break
         done.append(packed.filter(F.col("filled") >= WELL_FILLED))
-        rest, before, level = again.select(*names), n, level + 1
+        rest, before, level = again.select(*names, place), n, level + 1
     return reduce(DataFrame.unionByName, done).select(*names, "sequence_id", "offset")

@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -76,3 +77,11 @@ def test_awkward_and_empty(awkward):
     assert len(out) == pieces.count()
     check(out, 4096)
     assert packing.pack(packing.token_pieces(awkward.limit(0), "doc_id", "text", PATH)).count() == 0
+
+
+def test_repeated_rows_are_dealt_over_blocks(spark):
+    rows = [(None, 0, 0, 50, 7)] * 600
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start int, length int, ids_crc32 long")
+    out = packing.pack(pieces, capacity=100, block=50).collect()
+    assert len(out) == 600 and check(out, 100) <= 312
+    assert max(Counter(r.sequence_id >> 20 for r in out).values()) <= 100
