@@ -87,7 +87,11 @@ def _repeat_words(word_list: Column, hashes: Column, low: Column) -> Column:
 
 
 def with_statistics(documents: DataFrame, text: str = "text", into: str = "statistics") -> DataFrame:
-    """Add one struct column of statistics of each whole text."""
+    """Add one struct column of statistics of each whole text.
+
+    The struct comes out of a generator, which filters on it cannot pass: pushed below it they would
+    count the text again for every place that a nested expression uses it.
+    """
     value, listed, hashed, mask, lines = (
         free_name(documents, c) for c in ("_text", "_words", "_hashes", "_mask", "_lines")
     )
@@ -113,7 +117,8 @@ def with_statistics(documents: DataFrame, text: str = "text", into: str = "stati
         "n_marks": _count_of(t, MARKS),
     }
     struct = F.struct(*(c.cast("long").alias(name) for name, c in counted.items()))
-    return prepared.withColumn(into, struct).drop(value, listed, hashed, mask, lines)
+    kept = [F.col(f"`{c}`") for c in documents.columns if c != into]
+    return prepared.select(*kept, F.explode(F.array(struct)).alias(into))
 
 
 def features(s: Column) -> dict[str, Column]:

@@ -51,3 +51,18 @@ def test_statistics_keep_clashing_columns(documents):
     out = q.with_statistics(df)
     assert out.columns == [*df.columns, "statistics"]
     assert out.first()["_words"] == 2
+
+
+def test_filters_stay_above_the_statistics(documents):
+    """A filter on the statistics must not be pushed below them: it would split the text many times."""
+    s = F.col("statistics")
+    kept = q.with_statistics(documents([(1, "a b c")])).filter(~q.base_failed(s) & (s["n_symbols"] < 5))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "split(" in line]
+    assert plan.count("split(") <= 4
+
+
+def test_long_text_is_filtered_in_linear_time(documents):
+    text = " ".join(f"w{i % 9973}x{i % 7}" for i in range(60_000))
+    kept = q.with_statistics(documents([(1, text)]), into="s").filter(~q.base_failed(F.col("s")))
+    assert kept.count() == 1
