@@ -18,6 +18,7 @@ from stellate.llm import (
     quality_rules,
     repeated_bytes,
     secret_ledger,
+    token_alignment,
     token_attribution,
     training_order,
 )
@@ -30,6 +31,8 @@ ORACLES: dict[str, str] = {}
 #: Vocabulary files that every worker can open.
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_LEVEL_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(sql: str | None = None):
@@ -260,3 +263,11 @@ def op5_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
     )
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in every document, with corpus-wide pair counts."""
+    names = token_alignment.Tokenizers(BYTE_LEVEL_TOKENIZER, public_tokenizers.PATTERN, PIECE_TOKENIZER)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_alignment.alignments(documents, "doc_id", "text", names)
