@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stellate.llm import (
+    conversation_repair,
     decontamination,
     html_text,
     line_dedup,
@@ -18,6 +19,7 @@ from stellate.llm import (
     quality_rules,
     repeated_bytes,
     secret_ledger,
+    set_join,
     token_alignment,
     token_attribution,
     training_order,
@@ -271,3 +273,47 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = token_alignment.Tokenizers(BYTE_LEVEL_TOKENIZER, public_tokenizers.PATTERN, PIECE_TOKENIZER)
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_alignment.alignments(documents, "doc_id", "text", names)
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows after the damage that the checksum of ``conv_id:turn`` names; NULLs count as one space."""
+    space = F.lit(" ")
+    named = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")))
+    hit = F.crc32(named) % 20
+    text = F.coalesce("text", space)
+    changed = conversations.select(
+        "conv_id",
+        "turn",
+        F.when(hit == 4, "user").otherwise(F.coalesce("role", space)).alias("role"),
+        F.when(hit == 1, "").when(hit == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        hit.alias("_hit"),
+    ).filter("_hit != 0")
+    return changed.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.when(F.col("_hit") == 3, 2).otherwise(1)))).drop(
+        "_hit", "_copy"
+    )
+
+
+@query()
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after the damage."""
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversation_repair.summary(conversation_repair.repair(damaged(conversations)))
+    none = F.lit(0).cast("long")
+    return (
+        conversations.select("conv_id").distinct()
+        .join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+        .select(
+            "conv_id",
+            *(F.coalesce(c, none).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
+@query()
+def op11_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 85 hundredths of their four-word shingles."""
+    documents = table(spark, sf_dir, "documents")
+    found = set_join.linked(documents, settings=set_join.Settings(shingle=4, percent=85))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")

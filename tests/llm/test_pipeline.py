@@ -15,7 +15,7 @@ def test_query_equals_sql(name, spark, sf_dir):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(m[1]) for m in (re.match(r"op(\d+)_", n) for n in contract.queries()) if m)
-    assert numbers == list(range(1, 11)) and "pipeline" in contract.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in contract.queries()
 
 
 def test_stages(spark, sf_dir):
