@@ -52,13 +52,14 @@ class Settings:
     """shingle: words; percent: least similarity in hundredths.
 
     most_light: no boundary above this size is tried. buckets: counters of the shingle count, a
-    multiple of 64; it is the one table that every task gets, 8 bytes a counter.
+    multiple of 64; it is the one table that every task gets, 4 bytes a counter. A shingle stands out
+    in it if it is counted more often than a few times the root of what chance puts in a bucket.
     """
 
     shingle: int = 5
     percent: int = 80
     most_light: int = 24
-    buckets: int = 1 << 16
+    buckets: int = 1 << 22
 
     def common(self, n: int, m: int) -> int:
         """The least common shingles of linked sets of these sizes."""
@@ -116,32 +117,35 @@ def _sized(documents: DataFrame, key: str, text: str, s: Settings) -> tuple[Data
                 yield pa.RecordBatch.from_arrays([*columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=arrow)
         if counts.any():
             none = pa.nulls(_SLICES, pa.int64())
-            parts = [counts[i * each : (i + 1) * each].tobytes() for i in range(_SLICES)]
+            parts = [pa.compress(counts[i * each : (i + 1) * each], codec="zstd", asbytes=True) for i in range(_SLICES)]
             yield pa.RecordBatch.from_arrays([none] * 4 + [pa.array(range(_SLICES), pa.int32()), pa.array(parts)], schema=arrow)
 
     both = stage(documents.select(key, text).mapInArrow(run, schema), "set-sizes")
 
+    def counters(packed: bytes) -> np.ndarray:
+        return np.frombuffer(pa.decompress(packed, 8 * each, codec="zstd", asbytes=True), np.int64)
+
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for i, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                total[i] = total.get(i, 0) + np.frombuffer(counts, np.int64)
-        columns = [pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["slice", "counts"])
+            for i, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                total[i] = total.get(i, 0) + counters(packed)
+        parts = [pa.compress(x, codec="zstd", asbytes=True) for x in total.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(parts, pa.binary())], names=["slice", "counts"])
 
     # One number for each bucket, however many documents there are.
     slices = both.filter("slice IS NOT NULL").select("slice", "counts").repartition(_SLICES, "slice").mapInArrow(added, "slice int, counts binary")
-    counts = np.zeros(s.buckets, np.int64)
+    counts = np.zeros(s.buckets, np.uint32)
     for r in slices.collect():
-        counts[r["slice"] * each : (r["slice"] + 1) * each] = np.frombuffer(r["counts"], np.int64)
+        counts[r["slice"] * each : (r["slice"] + 1) * each] = np.minimum(counters(r["counts"]), 2**32 - 1)
     return both.filter("slice IS NULL").drop("slice", "counts"), counts
 
 
 def boundary(sizes: dict[int, int], counts: np.ndarray, s: Settings) -> int:
     """The largest light size: keys emitted below it and list entries read above it cost the least."""
-    total = max(int(counts.sum()), 1)
+    total = max(int(counts.sum(dtype=np.int64)), 1)
     # A list entry meets as many others as its shingle is counted beyond what chance puts in a bucket.
-    length = 1 + float((counts * np.maximum(counts - total / len(counts), 0.0)).sum() / total)
+    length = 1 + float((counts * np.maximum(counts.astype(float) - total / len(counts), 0.0)).sum() / total)
 
     def scanned(n: int) -> float:
         return (n - s.smallest(n) + 1) * length
@@ -317,9 +321,9 @@ def _differences(around: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _Sets(s)
-        names = ["class", "hub", "n", "far", "own"]
+        names = ["class", "hub", "n", "front", "far", "own"]
         for batch in batches:
-            n, far, own = [], [], []
+            n, front, far, own = [], [], [], []
             for b, x, y in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 x, base = _set_of(x, s), sets(b, y)
                 new, lost = np.setdiff1d(x, base, assume_unique=True), np.setdiff1d(base, x, assume_unique=True)
@@ -329,21 +333,22 @@ def _differences(around: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
                 first = -(-over // (2 * q)) if over > 0 else 0
                 second = (q * size + p * (len(base) - len(x))) // (2 * q) + 1
                 n.append(len(x))
-                far.append(both[: size - first + 1] if over > 0 else None)
-                own.append(both[: max(size - second + 1, 0)])
-            listed = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(far, listed), pa.array(own, listed)], names=names)
+                far.append(size - first + 1 if over > 0 else 0)
+                own.append(max(size - second + 1, 0))
+                front.append(both[: max(far[-1], own[-1])])
+            columns = [pa.array(n, pa.int64()), pa.array(front, pa.list_(pa.int64())), pa.array(far, pa.int32()), pa.array(own, pa.int32())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=names)
 
     pairs = around.select(F.col("class").alias("a"), F.col("hub").alias("b")).distinct()
-    made = _with_texts(pairs, texts).mapInArrow(run, "class long, hub long, n long, far array<long>, own array<long>")
+    made = _with_texts(pairs, texts).mapInArrow(run, "class long, hub long, n long, front array<long>, far int, own int")
     return stage(made.join(around.select("class", "component").distinct(), "class"), "set-differences")
 
 
 def _across(around: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """Pairs in different components around one hub that can still be linked."""
     apart = _differences(around, texts, s)
-    own = apart.select("hub", "class", "n", "component", F.col("far").isNotNull().alias("is_far"), F.explode("own").alias("shingle"))
-    far = apart.filter("far IS NOT NULL").select("hub", "class", "n", "component", F.explode("far").alias("shingle"))
+    own = apart.select("hub", "class", "n", "component", (F.col("far") > 0).alias("is_far"), F.explode(F.slice("front", F.lit(1), "own")).alias("shingle"))
+    far = apart.filter("far > 0").select("hub", "class", "n", "component", F.explode(F.slice("front", F.lit(1), "far")).alias("shingle"))
     reached = own.groupBy("hub", "shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     probes = far.join(stage(reached, "set-reached"), ["hub", "shingle"]).filter("component != low OR component != high")
     x = stage(probes, "set-probes").select("hub", "shingle", F.col("class").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
