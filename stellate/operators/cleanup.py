@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -52,12 +52,61 @@ def empty_columns(
     return [c for c, n in zip(undecided, counts) if n == 0]
 
 
+Into = Mapping[str, Iterable[str]]
+
+
 def drop_empty_columns(
-    df: DataFrame, preserve: Iterable[str] = (), among: Iterable[str] | None = None
+    df: DataFrame,
+    preserve: Iterable[str] = (),
+    among: Iterable[str] | None = None,
+    into: Into | None = None,
 ) -> DataFrame:
+    """Drop columns without any value. ``into`` only matters to ``EmptyWhenWritten``."""
     return df.drop(*empty_columns(df, preserve, among))
 
 
+class EmptyWhenWritten:
+    """Takes the place of ``drop_empty_columns`` in a job that writes its table anyway.
+
+    No column is dropped and nothing is read beforehand. The values of each column are counted where
+    the plan passes the call, while the table is written; afterwards ``left_out`` names the columns of
+    the written table to leave out. ``into`` says what a column has become there: its new name, or all
+    columns that are made from it and go with it.
+    """
+
+    def __init__(self) -> None:
+        self.passed: list[tuple[Observation, list[str], dict[str, list[str]]]] = []
+
+    def __call__(
+        self,
+        df: DataFrame,
+        preserve: Iterable[str] = (),
+        among: Iterable[str] | None = None,
+        into: Into | None = None,
+    ) -> DataFrame:
+        checked = [c for c in df.columns if c not in set(preserve)]
+        if among is not None:
+            checked = [c for c in checked if c in set(among)]
+        seen = Observation()
+        counts = [F.count(col(c)).alias(f"c{i}") for i, c in enumerate(checked)]
+        self.passed.append((seen, checked, {c: list(names) for c, names in (into or {}).items()}))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
+
+    @property
+    def rows(self) -> int:
+        """Rows of the first table that was passed."""
+        return self.passed[0][0].get["rows"]
+
+    def left_out(self) -> set[str]:
+        gone: set[str] = set()
+        for seen, checked, into in self.passed:
+            found = seen.get
+            for i, c in enumerate(checked):
+                if not found[f"c{i}"]:
+                    gone.update(into.get(c, [c]))
+        return gone
+
+
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Rename columns; unknown names are ignored."""
     return df.withColumnsRenamed(dict(mapping))
@@ -119,9 +168,10 @@ def clean_table(
     values: Mapping[str, Mapping] | None = None,
     text_columns: Iterable[str] = (),
     preserve: Iterable[str] = ("valid_to",),
+    drop: Callable[..., DataFrame] = drop_empty_columns,
 ) -> DataFrame:
     """Generic cleanup: empty columns, renames, whitespace, values - in that order."""
-    df = drop_empty_columns(df, preserve)
+    df = drop(df, preserve, into={c: [n] for c, n in (renames or {}).items()})
     df = rename_columns(df, renames or {})
     df = normalize_text(df, text_columns)
     for column, mapping in (values or {}).items():

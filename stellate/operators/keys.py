@@ -11,6 +11,10 @@ from stellate.operators.joins import left_lookup
 from stellate.sources.staging import stage
 
 PART, POSITION = "__part", "__position"
+# Where a row is stored: the file, as a hash of its path, and the number of the row in it.
+FILE, ROW = "__file", "__row"
+# Rows up to which a table of keys is sent to the tasks that read the texts.
+SENT_ROWS = 1 << 19
 # Rows are numbered within a partition in the low 33 bits of ``monotonically_increasing_id``.
 POSITION_BITS = (1 << 33) - 1
 
@@ -53,6 +57,40 @@ def surrogate_key(
     return keyed.select(key.cast("bigint").alias(pk), *(f"`{c}`" for c in df.columns))
 
 
+def with_location(stored: DataFrame) -> DataFrame:
+    """Rows of a table that is read from Parquet files, with the place where each is stored."""
+    return stored.select(
+        "*", F.xxhash64(F.col("_metadata.file_path")).alias(FILE), F.col("_metadata.row_index").alias(ROW)
+    )
+
+
+def attach_stored(narrow: DataFrame, located: DataFrame, columns: dict[str, Column], n_rows: int) -> DataFrame:
+    """Add columns of the stored rows that ``narrow``, of ``n_rows`` rows, names by ``FILE`` and ``ROW``.
+
+    The stored columns may be long texts, so they should not travel. Up to ``SENT_ROWS`` rows the
+    narrow rows are sent to the tasks that read the texts. Beyond that both sides are shuffled by their
+    place, which is the only time that a text is moved.
+    """
+    wide = located.select(FILE, ROW, *(c.alias(n) for n, c in columns.items()))
+    if n_rows <= SENT_ROWS:
+        narrow = F.broadcast(narrow)
+    return wide.join(narrow, [FILE, ROW]).drop(FILE, ROW)
+
+
+def surrogate_key_in_place(stored: DataFrame, pk: str, order_by: Sequence[str]) -> DataFrame:
+    """``surrogate_key`` for a table that is read from Parquet files.
+
+    Only the order columns and the places of the rows are ranged, sorted and written; the keys then
+    return to the rows by their places. Places also settle ties, so the order need not be total.
+    """
+    located = with_location(stored)
+    order = [*order_by, FILE, ROW]
+    numbers = surrogate_key(located.select(*(f"`{c}`" for c in dict.fromkeys(order))), pk, order)
+    numbers = numbers.select(pk, FILE, ROW)
+    keyed = attach_stored(numbers, located, {c: F.col(f"`{c}`") for c in stored.columns}, numbers.count())
+    return keyed.select(pk, *(f"`{c}`" for c in stored.columns))
+
+
 def last_per_key(df: DataFrame, keys: Sequence[str], value: str, order_by: str) -> DataFrame:
     """One row per key with the value of its last row, NULL included."""
     return df.groupBy(*keys).agg(F.max_by(value, order_by).alias(value))

@@ -6,11 +6,16 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegralType
 
 from stellate.functions import codes
 from stellate.operators.cleanup import col
+from stellate.operators.joins import in_key_type
+
+# Stands for a check in the rows that a key can be found by.
+PARENT = -1
 
 
 @dataclass(frozen=True)
@@ -25,26 +30,64 @@ def _union(reports: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, reports)
 
 
+def _comparable(kinds: Sequence[DataType]) -> bool:
+    return all(isinstance(k, IntegralType) for k in kinds)
+
+
 def fk_integrity(frames: Mapping[str, DataFrame], checks: Sequence[ForeignKey]) -> DataFrame:
     """Number of non-NULL foreign keys without a parent, one row per check.
 
-    Keys are counted before the anti join, so a frequent key travels once per task.
+    Every table is read once, whatever number of keys it has: each row becomes the keys it refers to
+    and the keys it can be found by, as (parent, key, check) rows, which are counted where they are
+    read. A key is an orphan if no row of its parent is among them; a frequent key travels once per task.
     """
-    reports = []
-    for check in checks:
-        child = frames[check.child].select(col(check.column).alias("__fk"))
-        counted = child.where("__fk IS NOT NULL").groupBy("__fk").agg(F.count("*").alias("n"))
-        parents = frames[check.parent].select(col(check.parent_column).alias("__fk"))
-        orphans = counted.join(parents, "__fk", "left_anti")
-        reports.append(
-            orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphans")).select(
-                F.lit(check.child).alias("child"),
-                F.lit(check.column).alias("fk_column"),
-                F.lit(check.parent).alias("parent"),
-                "orphans",
-            )
+    parents = list(dict.fromkeys((c.parent, c.parent_column) for c in checks))
+    number = {p: i for i, p in enumerate(parents)}
+    kinds: dict[tuple[str, str], list[DataType]] = {p: [frames[p[0]].schema[p[1]].dataType] for p in parents}
+    for c in checks:
+        kinds[c.parent, c.parent_column].append(frames[c.child].schema[c.column].dataType)
+
+    whole = all(map(_comparable, kinds.values()))
+
+    def key(table: str, column: str, parent: tuple[str, str]) -> Column:
+        # Whole numbers compare as such; other keys in the type of the parent's column.
+        if whole:
+            return col(column).cast("bigint")
+        if _comparable(kinds[parent]):
+            return col(column).cast("bigint").cast("string")
+        found = in_key_type(frames[table], col(column), kinds[parent][0]).cast("string")
+        # What is no value of that type is a key without a parent.
+        return F.when(col(column).isNotNull(), F.coalesce(found, F.concat(F.lit("\0"), col(column).cast("string"))))
+
+    used = []
+    for table in dict.fromkeys([*(c.child for c in checks), *(p for p, _ in parents)]):
+        refers = [
+            F.struct(F.lit(number[c.parent, c.parent_column]).alias("parent"), key(table, c.column, (c.parent, c.parent_column)).alias("key"), F.lit(i).alias("check"))
+            for i, c in enumerate(checks)
+            if c.child == table
+        ]
+        found_by = [
+            F.struct(F.lit(number[p]).alias("parent"), key(table, p[1], p).alias("key"), F.lit(PARENT).alias("check"))
+            for p in parents
+            if p[0] == table
+        ]
+        rows = frames[table].select(F.inline(F.array(*refers, *found_by)))
+        used.append(rows.where("key IS NOT NULL"))
+    counted = reduce(DataFrame.unionAll, used).groupBy("parent", "key", "check").agg(F.count("*").alias("n"))
+    # At most one entry for each check.
+    uses = F.collect_list(F.struct("check", "n")).alias("uses")
+    keys = counted.groupBy("parent", "key").agg(uses).where(~F.exists("uses", lambda u: u["check"] == PARENT))
+    orphans = keys.select(F.inline("uses")).groupBy("check").agg(F.sum("n").alias("orphans"))
+    rows = [
+        F.struct(
+            F.lit(i).alias("check"), F.lit(c.child).alias("child"), F.lit(c.column).alias("fk_column"), F.lit(c.parent).alias("parent")
         )
-    return _union(reports)
+        for i, c in enumerate(checks)
+    ]
+    spark = next(iter(frames.values())).sparkSession
+    every = spark.range(1).select(F.inline(F.array(*rows)))
+    joined = every.join(orphans, "check", "left")
+    return joined.select("child", "fk_column", "parent", F.coalesce("orphans", F.lit(0)).cast("bigint").alias("orphans"))
 
 
 def pk_unique(frames: Mapping[str, DataFrame], keys: Mapping[str, str]) -> DataFrame:

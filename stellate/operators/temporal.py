@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stellate.functions.text import year_of
+from stellate.operators import segments
 from stellate.operators.cleanup import col
 
 CHUNK = "__chunk"
@@ -139,14 +140,13 @@ def forward_fill(
 ) -> DataFrame:
     """Replace NULLs by the last value before them, per key. NULL is a key of its own.
 
-    Without ``chunk``, all rows of one key are sorted in one task: for short histories only.
-    ``chunk`` is a coarse form of the order, such as the month of a timestamp. With it, the rows
-    of one key are filled chunk by chunk in separate tasks, and only the last value of every chunk
-    travels to the next, so a key with very many rows does not end up in one task.
+    Rows are ranged by key and order, so a key with very many rows stands in many tasks; see
+    ``segments``. Where the order has a coarse form, such as the month of a timestamp, that is dense,
+    it can be given as ``chunk``: the rows of one key are then filled chunk by chunk, and only the last
+    value of every chunk travels to the next. That needs no written table.
     """
     if chunk is None:
-        w = Window.partitionBy(*keys).orderBy(order_by)
-        return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
+        return segments.fill_forward(df, keys, order_by, columns)
     rows = df.withColumn(CHUNK, chunk)
     local = Window.partitionBy(*keys, CHUNK).orderBy(order_by)
     filled = rows.withColumns({c: F.last(c, ignorenulls=True).over(local) for c in columns})
@@ -166,7 +166,7 @@ def next_boundary(
 ) -> DataFrame:
     """Add the following start of the same key, NULL on the last row. ``chunk`` as above."""
     if chunk is None:
-        return df.withColumn(out, F.lead(start).over(Window.partitionBy(*keys).orderBy(start)))
+        return segments.next_start(df, keys, start, out)
     rows = df.withColumn(CHUNK, chunk)
     local = F.lead(start).over(Window.partitionBy(*keys, CHUNK).orderBy(start))
     heads = rows.groupBy(*keys, CHUNK).agg(F.min(start).alias("__head"))

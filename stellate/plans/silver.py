@@ -24,6 +24,8 @@ from stellate.sources.layers import Layer, nan_to_null
 
 Frames = Mapping[str, DataFrame]
 Cleaned = tuple[DataFrame, dict[str, DataFrame]]
+# How a job gets rid of columns without values: at once, or when its table is written.
+Drop = Callable[..., DataFrame]
 
 ROW_ID, SOURCE_ROW_ID = "row_id", "source_row_id"
 VALIDITY = ("valid_from", "valid_to")
@@ -34,10 +36,12 @@ def keep_row_order(df: DataFrame) -> DataFrame:
     return cleanup.rename_columns(df, {ROW_ID: SOURCE_ROW_ID})
 
 
-def trimmed(df: DataFrame, dropped, renamed, preserve=("valid_to",)) -> DataFrame:
+def trimmed(
+    df: DataFrame, dropped, renamed, preserve=("valid_to",), drop: Drop = cleanup.drop_empty_columns
+) -> DataFrame:
     df = keep_row_order(df) if ROW_ID in dropped else df
     df = cleanup.drop_columns(df, dropped)
-    df = cleanup.drop_empty_columns(df, preserve)
+    df = drop(df, preserve, into={c: [n] for c, n in renamed.items()})
     return cleanup.rename_columns(df, renamed)
 
 
@@ -71,23 +75,27 @@ def standardize_stage(c):
     return codes.replace_values(text.before_first(mapped), candidate_values.STAGES)
 
 
-def candidates(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}) -> Cleaned:
+def candidates(
+    df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}, drop: Drop = cleanup.drop_empty_columns
+) -> Cleaned:
     v = candidate_values
     df = cleanup.keep_active(df)
     # Every row survives the expansion, so columns that pass through it are checked before it.
     yearly = [*v.STAGE_BY_YEAR, *v.INCLUSION_BY_YEAR, v.STAGE_ID_2025]
     dropped = [c for c in v.DROPPED if c not in yearly]
     df = cleanup.drop_columns(keep_row_order(df), [*dropped, *VALIDITY])
-    df = normalize_inclusion(cleanup.drop_empty_columns(df, preserve=yearly))
+    df = normalize_inclusion(drop(df, preserve=yearly, into={c: [n] for c, n in v.RENAMED.items()}))
     histories = [
         YearlyGroup("new_currentrdstage", v.STAGE_BY_YEAR),
         YearlyGroup("includeinpipeline", v.INCLUSION_BY_YEAR, "bigint"),
     ]
-    # A history has a value if any of its yearly columns has one. Only a history without any needs
-    # a look behind the lookup of 2025.
-    direct = [c for h in histories for c in h.dates if c in df.columns]
-    empty = set(cleanup.empty_columns(df, among=direct))
-    unsure = [h.out for h in histories if empty.issuperset(c for c in h.dates if c in direct)]
+    unsure = [h.out for h in histories]
+    if drop is cleanup.drop_empty_columns:
+        # A history has a value if any of its yearly columns has one. Only a history without any needs
+        # a look behind the lookup of 2025.
+        direct = [c for h in histories for c in h.dates if c in df.columns]
+        empty = set(cleanup.empty_columns(df, among=direct))
+        unsure = [h.out for h in histories if empty.issuperset(c for c in h.dates if c in direct)]
     if "vin_rdstageproducts" in lookups and v.STAGE_ID_2025 in df.columns:
         df = lookup_name(
             df,
@@ -98,7 +106,7 @@ def candidates(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}) ->
             "stage_2025",
         )
     df = scd2_expand(df.drop(v.STAGE_ID_2025), histories)
-    df = cleanup.drop_empty_columns(df, among=unsure)
+    df = drop(df, among=unsure, into={"includeinpipeline": ["includeinpipeline", "include_in_pipeline"]})
     df = cleanup.update_columns(
         df, {"new_ctregistrylink": text.registry_link(col("new_ctregistrylink"))}
     )
@@ -124,11 +132,14 @@ def candidates(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}) ->
     return df, removed_codes(option_sets, v.OPTION_CODES_REMOVED)
 
 
-def clinical_trials(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}) -> Cleaned:
+def clinical_trials(
+    df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}, drop: Drop = cleanup.drop_empty_columns
+) -> Cleaned:
     v = trial_values
     # These labels are never NULL, so their columns stay even when the source has no value.
     labelled = ("vin_ctphase", "new_age", "new_sex")
-    df = trimmed(df, v.DROPPED, {}, ("valid_to", *labelled))
+    into = {c: [n] for c, n in v.RENAMED.items()}
+    df = drop(cleanup.drop_columns(keep_row_order(df) if ROW_ID in v.DROPPED else df, v.DROPPED), ("valid_to", *labelled), into=into)
     df = classify.apply(
         df,
         {
@@ -143,9 +154,11 @@ def clinical_trials(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {
     return df, removed_codes(option_sets, v.OPTION_CODES_REMOVED)
 
 
-def diseases(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}) -> Cleaned:
+def diseases(
+    df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}, drop: Drop = cleanup.drop_empty_columns
+) -> Cleaned:
     v = disease_values
-    df = trimmed(df, v.DROPPED, v.RENAMED)
+    df = trimmed(df, v.DROPPED, v.RENAMED, drop=drop)
     primary, secondary = "disease_filter", "secondary_disease_name"
     df = cleanup.update_columns(
         df,
@@ -164,20 +177,24 @@ def diseases(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}) -> C
     return df, areas
 
 
-def priorities(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}) -> Cleaned:
+def priorities(
+    df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}, drop: Drop = cleanup.drop_empty_columns
+) -> Cleaned:
     v = priority_values
-    return cleanup.replace_values(trimmed(df, v.DROPPED, v.RENAMED), "author", v.AUTHORS), {}
+    return cleanup.replace_values(trimmed(df, v.DROPPED, v.RENAMED, drop=drop), "author", v.AUTHORS), {}
 
 
-def developers(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}) -> Cleaned:
+def developers(
+    df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}, drop: Drop = cleanup.drop_empty_columns
+) -> Cleaned:
     v = developer_values
     if "accounts" not in lookups or "vin_countries" not in lookups:
-        return trimmed(df, v.DROPPED, v.RENAMED), {}
+        return trimmed(df, v.DROPPED, v.RENAMED, drop=drop), {}
     # Raw columns are settled before any join; countries are resolved on the few accounts, so the
     # developers themselves are joined once.
     source = "__account"
     df = df.withColumn(source, cleanup.col_or_null(df, "_vin_developer_value"))
-    df = trimmed(df, v.DROPPED, v.RENAMED, preserve=("valid_to", source))
+    df = trimmed(df, v.DROPPED, v.RENAMED, preserve=("valid_to", source), drop=drop)
     accounts = lookups["accounts"]
     accounts = accounts.select(
         col("accountid"),
@@ -190,7 +207,7 @@ def developers(df: DataFrame, option_sets: Frames = {}, lookups: Frames = {}) ->
     accounts = resolve_country(accounts, col("__country"), lookups["vin_countries"], "country_name")
     added = ["org_name", "org_type", "country_name"]
     df = left_enrich(df, col(source), accounts, "accountid", {c: c for c in added}).drop(source)
-    return cleanup.drop_empty_columns(df, among=added), {}
+    return drop(df, among=added), {}
 
 
 @dataclass(frozen=True)
@@ -217,33 +234,38 @@ def clean_layer(
     """Build the clean layer from the raw one and return the names of the tables written.
 
     Empty data tables are skipped. Option sets are copied, or replaced by the version a
-    registered table cleaned, and get their clean-layer name. Errors are raised.
+    registered table cleaned, and get their clean-layer name. A table is read once, to write it: its
+    rows and the values of its columns are counted on the way, and an empty table or column is left
+    out of the layer. Readers see the new layer when all tables stand; errors are raised and leave the
+    layer as it was.
     """
     raw, clean = Layer(spark, raw_folder), Layer(spark, clean_folder)
     data_tables, option_sets = raw.data_tables(), raw.option_sets()
+    with clean.rebuild() as run, ThreadPoolExecutor(parallel) as pool:
+
+        def clean_data(table: str) -> dict[str, DataFrame] | None:
+            df, counted = nan_to_null(raw.read(table)), cleanup.EmptyWhenWritten()
+            entry, sets = REGISTRY.get(table), {}
+            if entry is None:
+                df = cleanup.clean_table(df, preserve=VALIDITY, drop=counted)
+            else:
+                option_frames, lookups = raw.read_optional(entry.option_sets), raw.read_optional(entry.lookups)
+                df, sets = entry.transform(df, option_frames, lookups, counted)
+                df = cleanup.cast_codes(df, optionsets.CODE_COLUMNS)
+            run.write(table, df)
+            run.leave_out(table, counted.left_out())
+            if not counted.rows:
+                run.forget(table)
+                return None
+            return sets
 
-    def clean_data(table: str) -> dict[str, DataFrame] | None:
-        df = nan_to_null(raw.read(table))
-        if df.isEmpty():
-            return None
-        entry = REGISTRY.get(table)
-        if entry is None:
-            clean.write(table, cleanup.clean_table(df, preserve=VALIDITY))
-            return {}
-        df, sets = entry.transform(
-            df, raw.read_optional(entry.option_sets), raw.read_optional(entry.lookups)
-        )
-        clean.write(table, cleanup.cast_codes(df, optionsets.CODE_COLUMNS))
-        return sets
-
-    with ThreadPoolExecutor(parallel) as pool:
         results = dict(zip(data_tables, pool.map(clean_data, data_tables)))
         written = [t for t, sets in results.items() if sets is not None]
         cleaned = {n: df for sets in results.values() for n, df in (sets or {}).items()}
 
         def copy_options(table: str) -> str:
             name = optionsets.RENAMED_TABLES.get(table, table)
-            clean.write(name, cleaned[table] if table in cleaned else raw.read(table))
+            run.write(name, cleaned[table] if table in cleaned else raw.read(table))
             return name
 
         return written + list(pool.map(copy_options, option_sets))

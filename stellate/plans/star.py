@@ -6,8 +6,11 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from threading import Lock
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from stellate.config.optionsets import PREFIX
 from stellate.functions import codes
@@ -18,7 +21,7 @@ from stellate.plans import spec as kinds
 from stellate.plans import star_map
 from stellate.plans.silver import ROW_ID, SOURCE_ROW_ID
 from stellate.sources.layers import Layer, row_counts
-from stellate.sources.staging import staging_run
+from stellate.sources.staging import stage, staging_run
 
 METADATA = "_etl_metadata"
 SYNC_LOG = "_sync_log"
@@ -31,24 +34,38 @@ class Star:
     """Reads source tables, saves finished ones and remembers both for later tables.
 
     ``source`` gives a clean-layer table or None; ``save`` writes a finished table and returns
-    a reader of it.
+    a reader of it. ``stored`` says of which source tables the frame reads Parquet files as they are.
     """
 
     spark: SparkSession
     source: Callable[[str], DataFrame | None]
     save: Callable[[str, DataFrame], DataFrame]
     iso: DataFrame | None = None
+    stored: Callable[[str], bool] = lambda name: False
     done: dict[str, DataFrame] = field(default_factory=dict)
     # Distinct dimensions with the source columns they came from.
     combinations: dict[str, DataFrame] = field(default_factory=dict)
+    # Written key maps: one aggregate for all tables that look a dimension up.
+    key_maps: dict[tuple[str, str], DataFrame] = field(default_factory=dict)
+    locks: dict[tuple[str, str], Lock] = field(default_factory=dict)
 
     def option_set(self, name: str) -> DataFrame | None:
         return self.source(PREFIX + name)
 
     def key_map(self, name: str, natural: str | None = None) -> tuple[DataFrame, str]:
+        """The key map of a finished dimension, written when it is first asked for."""
         table = star_map.TABLES[name]
-        natural = natural or table.natural
-        return keys.key_map(self.done[name], natural, table.pk), natural
+        wanted = (name, natural or table.natural)
+        with self.locks.setdefault(wanted, Lock()):
+            if wanted not in self.key_maps:
+                self.key_maps[wanted] = stage(keys.key_map(self.done[name], wanted[1], table.pk), f"keys-{name}")
+        return self.key_maps[wanted], wanted[1]
+
+    def located(self, table: kinds.Table, df: DataFrame) -> DataFrame:
+        """The table's source with the places of its rows; written first if it is not stored as it is."""
+        if not self.stored(table.source):
+            df = stage(needed(df, table), table.source)
+        return keys.with_location(df)
 
 
 def source_columns(columns: Iterable[kinds.ColumnSpec]) -> list[str]:
@@ -155,7 +172,58 @@ def numbered(df: DataFrame, table: kinds.Table, extra: Sequence[str] = ()) -> Da
     return keys.surrogate_key(tied, table.pk, [*order, "__tie"])
 
 
+def needed(df: DataFrame, table: kinds.Table) -> DataFrame:
+    """The source columns that the order and the columns of a table are made from."""
+    names = dict.fromkeys((*ORDER, "valid_from", "valid_to", *source_columns(table.columns.values())))
+    return df.select(*(col(c) for c in names if c in df.columns))
+
+
+def wide_columns(df: DataFrame, columns: Mapping[str, kinds.ColumnSpec]) -> dict[str, kinds.ColumnSpec]:
+    """Columns that are only copied or computed from one row, and hold or read texts."""
+    text = {f.name for f in df.schema if isinstance(f.dataType, (StringType, BinaryType))}
+    plain = {n: c for n, c in columns.items() if isinstance(c, (kinds.Source, kinds.Calc))}
+    return {n: c for n, c in plain.items() if text.intersection(source_columns([c]))}
+
+
+def rows_in_place(
+    star: Star,
+    table: kinds.Table,
+    located: DataFrame,
+    columns: Mapping[str, kinds.ColumnSpec],
+    expand: Callable[[DataFrame], DataFrame] = lambda df: df,
+    extra: Sequence[str] = (),
+) -> DataFrame:
+    """Rows of a table with its key in load order, without moving its texts.
+
+    What is ranged, sorted, written and joined has the order, the sources of the lookups and the place
+    of the row. The texts stay in the files and come in at the end, by the place. ``expand`` may
+    repeat rows; ``extra`` names the columns that tell the copies apart.
+    """
+    wide = wide_columns(located, columns)
+    narrow = {n: c for n, c in columns.items() if n not in wide}
+    rows = expand(located)
+    order = [c for c in (*ORDER, *extra) if c in rows.columns]
+    places = (keys.FILE, keys.ROW)
+    used = dict.fromkeys((*order, *extra, *source_columns(narrow.values()), *places))
+    keyed = keys.surrogate_key(rows.select(*(col(c) for c in used if c in rows.columns)), table.pk, [*order, *places])
+    kept = {c: col(c) for c in (table.pk, *places)}
+    found = evaluate(star, keyed, narrow, kept)
+    values = {n: evaluate_plain(located, c).alias(n) for n, c in wide.items()}
+    # The lookups keep every row, so the rows are counted before them.
+    return keys.attach_stored(found, located, values, keyed.count()).select(col(table.pk), *(col(n) for n in columns))
+
+
+def evaluate_plain(df: DataFrame, spec: kinds.Source | kinds.Calc) -> Column:
+    match spec:
+        case kinds.Source(column):
+            return col_or_null(df, column)
+        case kinds.Calc(build):
+            return build(lambda name: col_or_null(df, name))
+
+
 def dimension_rows(star: Star, table: kinds.Dimension, df: DataFrame) -> DataFrame:
+    if wide_columns(df, table.columns):
+        return rows_in_place(star, table, star.located(table, df), table.columns)
     return evaluate(star, numbered(df, table), table.columns, {table.pk: col(table.pk)})
 
 
@@ -184,19 +252,26 @@ def phase_dimension_rows(star: Star, table: kinds.PhaseDimension, df: DataFrame)
 
 def fact_rows(star: Star, table: kinds.Fact, df: DataFrame) -> DataFrame:
     columns = dict(table.columns)
-    extra: list[str] = []
-    if table.infill:
-        # Originals and copies carry one date, so the date dimension is joined once for both.
-        date = columns["date_key"]
-        df = df.withColumns({c: col_or_null(df, c) for c in ("valid_from", "valid_to")})
-        df = df.withColumn("__active", codes.is_null_flag(col("valid_to")))
-        df = temporal.year_infill(df, flag="__active", out="__year")
+    if not table.infill:
+        if not wide_columns(df, columns):
+            return evaluate(star, numbered(df, table), columns, {table.pk: col(table.pk)})
+        return rows_in_place(star, table, star.located(table, df), columns)
+    # Originals and copies carry one date, so the date dimension is joined once for both.
+    date = columns["date_key"]
+    columns["is_active_flag"] = kinds.Source("__active")
+    columns["date_key"] = kinds.Fk(date.dimension, "__date")
+    extra = ["__year", "__active", "__date"]
+
+    def expand(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumns({c: col_or_null(rows, c) for c in ("valid_from", "valid_to")})
+        rows = rows.withColumn("__active", codes.is_null_flag(col("valid_to")))
+        rows = temporal.year_infill(rows, flag="__active", out="__year")
         first_day = F.concat(F.col("__year").cast("string"), F.lit("-01-01"))
-        df = df.withColumn("__date", F.coalesce(first_day, date.derive(col("valid_from"))))
-        columns["is_active_flag"] = kinds.Source("__active")
-        columns["date_key"] = kinds.Fk(date.dimension, "__date")
-        extra = ["__year", "__active", "__date"]
-    return evaluate(star, numbered(df, table, extra), columns, {table.pk: col(table.pk)})
+        return rows.withColumn("__date", F.coalesce(first_day, date.derive(col("valid_from"))))
+
+    if not wide_columns(df, columns):
+        return evaluate(star, numbered(expand(df), table, extra), columns, {table.pk: col(table.pk)})
+    return rows_in_place(star, table, star.located(table, df), columns, expand, extra)
 
 
 def bridge_keys(star: Star, table: kinds.Table) -> dict[str, tuple[str, DataFrame, str]]:
@@ -305,6 +380,9 @@ def build(
         star.done[table.name] = star.save(table.name, rows)
 
     with ThreadPoolExecutor(parallel) as pool:
+        # Facts have the largest sources and wait for most tables, so their sources come first.
+        for source in dict.fromkeys(t.source for n, t in star_map.TABLES.items() if n in chosen and isinstance(t, kinds.Fact)):
+            pool.submit(star.source, source)
         for name, table in star_map.TABLES.items():
             if name in chosen:
                 started[name] = pool.submit(finish, table)
@@ -329,24 +407,26 @@ def star_layer(
 ) -> StarReport:
     """Build the star schema from a clean layer, next to it unless a folder is given.
 
-    Returns the row counts, the foreign-key report and the metadata of the finished layer.
+    Returns the row counts, the foreign-key report and the metadata of the finished layer. Readers see
+    the new star when all tables stand; a failed run leaves the old one.
     """
     clean = Layer(spark, clean_folder)
     layer = Layer(spark, star_folder or clean.beside("star"))
     if layer.same_place(clean):
         raise ValueError(f"the star layer would overwrite the clean layer {clean.folder}")
     tables = {name: clean.read(name) for name in clean.tables()}
-    with staging_run(spark):
-        done = build(Star(spark, tables.get, layer.write, iso), parallel)
-    log = tables.get(SYNC_LOG)
-    if log is not None:
-        entries = quality.last_sync(log).where("last_sync_date IS NOT NULL").select(
-            F.lit("last_sync_date").alias("key"),
-            F.col("last_sync_date").cast("string").alias("value"),
-        )
-    else:
-        entries = spark.createDataFrame([], "key string, value string")
-    metadata = layer.write(METADATA, contract.metadata_upsert(None, entries))
+    with layer.rebuild() as run:
+        with staging_run(spark):
+            done = build(Star(spark, tables.get, run.write, iso, tables.__contains__), parallel)
+        log = tables.get(SYNC_LOG)
+        if log is not None:
+            entries = quality.last_sync(log).where("last_sync_date IS NOT NULL").select(
+                F.lit("last_sync_date").alias("key"),
+                F.col("last_sync_date").cast("string").alias("value"),
+            )
+        else:
+            entries = spark.createDataFrame([], "key string, value string")
+        metadata = run.write(METADATA, contract.metadata_upsert(None, entries))
     return StarReport(
         row_counts(done), quality.fk_integrity(done, star_map.foreign_keys()), metadata
     )

@@ -638,6 +638,14 @@ def surrogate_key(spark, sf_dir):
     return keys.surrogate_key(df, "line_key", LINE_ORDER)
 
 
+@query("""
+SELECT row_number() OVER (ORDER BY source, lang, doc_id) AS document_key, doc_id, text, lang, source,
+  n_chars FROM documents""")
+def surrogate_key_in_place(spark, sf_dir):
+    """Keys of the documents; the texts stay where they are stored."""
+    return keys.surrogate_key_in_place(base(spark, sf_dir, "documents"), "document_key", ["source", "lang", "doc_id"])
+
+
 @query("""
 SELECT o_custkey, arg_max(o_totalprice, o_orderkey) AS o_totalprice FROM orders
 GROUP BY o_custkey""")
@@ -809,6 +817,27 @@ def forward_fill(spark, sf_dir):
     )
 
 
+@query(f"""
+WITH purchases AS ({PURCHASES})
+SELECT event_id, user_id, event_type, last_value(amount IGNORE NULLS) OVER w AS amount,
+  last_value(click IGNORE NULLS) OVER w AS click FROM purchases
+WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)""")
+def forward_fill_history(spark, sf_dir):
+    """The same without a chunk: rows are ranged by user and event."""
+    events = derive(spark, sf_dir, PURCHASES)
+    return temporal.forward_fill(events, ["user_id"], "event_id", ["amount", "click"])
+
+
+@query(f"""
+WITH purchases AS ({PURCHASES})
+SELECT event_id, user_id, event_type, last_value(amount IGNORE NULLS) OVER w AS amount,
+  last_value(click IGNORE NULLS) OVER w AS click FROM purchases
+WINDOW w AS (ORDER BY event_id ROWS UNBOUNDED PRECEDING)""")
+def forward_fill_one_history(spark, sf_dir):
+    """All events are one history: the longest that there can be."""
+    return temporal.forward_fill(derive(spark, sf_dir, PURCHASES), [], "event_id", ["amount", "click"])
+
+
 ORDER_DAYS = "SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS valid_from FROM orders"
 
 
@@ -824,6 +853,23 @@ def scd2_lead(spark, sf_dir):
     return df.withColumns({c: F.col(c).cast("string") for c in ("valid_from", "valid_to")})
 
 
+@query(f"""
+SELECT o_custkey, CAST(valid_from AS STRING) AS valid_from,
+  CAST(lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS STRING) AS valid_to
+FROM ({ORDER_DAYS}) AS d""")
+def scd2_lead_history(spark, sf_dir):
+    """The same without a chunk: every partition hands its first row to the one before."""
+    df = temporal.next_boundary(derive(spark, sf_dir, ORDER_DAYS), ["o_custkey"], "valid_from", "valid_to")
+    return df.withColumns({c: F.col(c).cast("string") for c in ("valid_from", "valid_to")})
+
+
+@query("""
+SELECT event_id, lead(event_id) OVER (ORDER BY event_id) AS next_event FROM events""")
+def lead_one_history(spark, sf_dir):
+    """The following event of every event: one history over all partitions."""
+    return temporal.next_boundary(base(spark, sf_dir, "events").select("event_id"), [], "event_id", "next_event")
+
+
 # Years in which a customer placed an order of one priority: most of them leave gaps to fill.
 ORDER_SPANS = """
 SELECT DISTINCT o_custkey, o_orderpriority, CASE WHEN o_orderkey % 40 = 0 THEN 'n/a'

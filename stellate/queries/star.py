@@ -117,6 +117,9 @@ clean_developers AS (SELECT d.row_id AS source_row_id, vin_developerid AS develo
 
 # --- the clean layer in Spark ------------------------------------------------------------------
 
+# Clean tables that ``clean_frames`` has written when it gives them.
+WRITTEN = {"vin_candidates", "vin_clinicaltrials"}
+
 
 def clean_frames(spark: SparkSession, sf_dir: str):
     """Clean-layer tables by name, each made when it is first asked for."""
@@ -203,10 +206,10 @@ def clean_frames(spark: SparkSession, sf_dir: str):
             return special[name]()
         return raw(spark, sf_dir, generic[name]) if name in generic else None
 
-    one_at_a_time = Lock()
+    one_at_a_time: dict[str, Lock] = {}
 
     def source(name: str) -> DataFrame | None:
-        with one_at_a_time:
+        with one_at_a_time.setdefault(name, Lock()):
             return made(name)
 
     return source
@@ -525,7 +528,7 @@ def required(names: list[str]) -> list[str]:
 def star_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One star table, built together with the tables it refers to. Keys are written once
     where they are made, so the other steps stay part of one plan."""
-    built = star.Star(spark, clean_frames(spark, sf_dir), lambda _, df: df)
+    built = star.Star(spark, clean_frames(spark, sf_dir), lambda _, df: df, stored=WRITTEN.__contains__)
     return star.build(built, only=required([name]))[name]
 
 
@@ -605,7 +608,9 @@ def key_sums(table: str, df: DataFrame) -> DataFrame:
 @query(f"WITH {SQL_STAR}\n" + "\nUNION ALL ".join(map(sql_key_sum, star_map.TABLES)))
 def star_load(spark, sf_dir):
     """Build and write all 25 tables; report rows and the sum of all keys per table."""
-    built = star.Star(spark, clean_frames(spark, sf_dir), lambda name, df: stage(df, name))
+    built = star.Star(
+        spark, clean_frames(spark, sf_dir), lambda name, df: stage(df, name), stored=WRITTEN.__contains__
+    )
     reports = [key_sums(name, df) for name, df in star.build(built).items()]
     return reduce(DataFrame.unionAll, reports)
 

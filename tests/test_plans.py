@@ -8,6 +8,7 @@ from stellate.operators import keys, temporal
 from stellate.operators.bridges import attach_key
 from stellate.plans import silver
 from stellate.queries.inputs import base, raw
+from stellate.sources import staging
 
 
 def plan(df):
@@ -107,3 +108,63 @@ def test_a_hot_key_is_split(spark, kind):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert len(found) == 150000 and all(r.k == r.t + 1 for r in found)
     assert "skew=true" in final
+
+
+def test_foreign_keys_read_every_table_once(spark, tmp_path):
+    from stellate.operators import quality
+
+    frames = {}
+    for name in ("a", "b", "c"):
+        rows = spark.range(50).selectExpr("id AS k", "id * 2 AS x", "CAST(id AS STRING) AS y", "IF(id > 3, 'none', NULL) AS z")
+        rows.write.parquet(str(tmp_path / name))
+        frames[name] = spark.read.parquet(str(tmp_path / name))
+    check = quality.ForeignKey
+    checks = [check("a", "x", "b", "k"), check("a", "y", "b", "k"), check("b", "x", "c", "k"), check("b", "z", "c", "y"), check("c", "z", "b", "k")]
+    out = quality.fk_integrity(frames, checks)
+    assert plan(out).split("== Physical Plan ==")[1].count("FileScan") == 3
+    assert [r.orphans for r in out.sort("child", "fk_column").collect()] == [25, 0, 25, 46, 46]
+
+
+@pytest.mark.parametrize("name", ["fact_publication", "fact_trial"])
+def test_texts_are_in_no_exchange(name, spark, sf_dir, monkeypatch):
+    """Numbering and lookups work on keys and places; texts are read where they end up."""
+    texts = {"title", "description", "url", "vin_description", "vin_url", "locations", "name", "trial_title"}
+    staged = []
+    monkeypatch.setattr(keys, "stage", lambda df, *a: (staged.append(df), staging.stage(df, *a))[1])
+    frames = [contract.queries()[name](spark, sf_dir)]
+    exchanges = 0
+    for df in frames + staged:
+        nodes = df._jdf.queryExecution().explainString(df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        for node in nodes.split("\n\n"):
+            head = node.strip().split("\n")[0]
+            if "Exchange" in head and head.startswith("("):
+                exchanges += 1
+                columns = {c.split("#")[0].strip("[ ") for line in node.split("\n") if line.startswith("Input") for c in line.split(":", 1)[1].split(",")}
+                assert not columns & texts, node
+    assert exchanges >= 2 and staged
+
+
+def test_each_key_map_is_made_once(spark, sf_dir, monkeypatch):
+    from stellate.plans import star
+    from stellate.queries.star import required, star_table
+
+    made = []
+    key_map = keys.key_map
+    monkeypatch.setattr(star.keys, "key_map", lambda df, natural, pk: made.append((natural, pk)) or key_map(df, natural, pk))
+    assert len(required(["bridge_candidate_priority"])) > 4
+    star_table(spark, sf_dir, "bridge_candidate_priority")
+    assert len(made) == len(set(made)) >= 4
+
+
+def test_keys_in_place_beyond_the_broadcast(spark, sf_dir, monkeypatch, rows):
+    monkeypatch.setattr(keys, "SENT_ROWS", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        far = keys.surrogate_key_in_place(base(spark, sf_dir, "documents"), "k", ["lang"])
+        assert "BroadcastHashJoin" not in plan(far.select("text")).split("FileScan")[0]
+        found = sorted(rows(far, "k", "doc_id", "lang"), key=lambda r: r[0])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [r[0] for r in found] == list(range(1, len(found) + 1))
+    assert [r[2] for r in found] == sorted(r[2] for r in found)
