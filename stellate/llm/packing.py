@@ -8,8 +8,10 @@ other, removes the bins that hold the same pieces, and best-fits the displaced p
 epoch each island passes its elite to the next one. Then the bins with room to spare are dissolved
 and packed again over all blocks, until one block holds what is left or nothing is gained.
 
-NULL and empty texts are one piece of the end token alone. Repeated rows are pieces of their own.
-The packing depends on lengths only, so pieces of equal length may change places between runs.
+NULL and empty texts are one piece of the end token alone; very long texts are cut into many pieces,
+nothing is dropped. Repeated rows are pieces of their own. The packing depends on lengths only, so
+pieces of equal length are ties that may change places between runs. An empty table gives an empty
+result. Special tokens' strings in a text are the special tokens, as the tokenizer has it.
 """
 
 from __future__ import annotations
@@ -25,7 +27,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.frames import free_name
 from stellate.llm.word_tokens import load
 from stellate.sources.staging import stage
 
@@ -36,6 +37,8 @@ ISLANDS = 2
 EPOCHS = 2
 GENERATIONS = 8
 POPULATION = 4
+#: Islands evolve in so many tasks at most; each holds one state at a time.
+MOST_TASKS = 4096
 #: Bins filled less than this share are packed again over all blocks.
 WELL_FILLED = 0.98
 END = 1
@@ -56,10 +59,10 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = load(tokenizer)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 2_000):
+                part = batch.slice(at, 2_000)
                 rows, cuts = [], []
-                for i, ids in enumerate(encoder.encode([t or "" for t in part.column(1).to_pylist()])):
+                for i, ids in enumerate(encoder.encode(part.column(1))):
                     ids += end
                     for n, start in enumerate(range(0, len(ids), width)):
                         rows.append(i)
@@ -253,7 +256,9 @@ def _pack_blocks(pieces: DataFrame, capacity: int, islands: int, epochs: int, ge
             open_ = open_.join(arriving, ["block", "island"], "left")
         else:
             open_ = open_.withColumn("migrant", F.lit(None).cast("binary"))
-        moved = open_.repartition("block", "island").mapInArrow(_epoch(capacity, generations, number), STATE)
+        # A number of its own, so that small states are not folded into one task.
+        tasks = min(open_.count(), MOST_TASKS)
+        moved = open_.repartition(tasks, "block", "island").mapInArrow(_epoch(capacity, generations, number), STATE)
         open_ = stage(moved, "packing-epoch")
     settled.append(open_)
     best = (
@@ -281,10 +286,13 @@ def pack(
 ) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces with a ``length`` of 1 to ``capacity``.
 
-    Pieces are dealt to blocks by a number staged once, so that equal rows are spread as well.
+    Pieces are dealt to blocks by a number staged once, so that equal rows are spread as well. Their
+    columns travel as one, so any names may occur; columns ``sequence_id`` and ``offset`` are replaced.
     """
-    names, place = pieces.columns, free_name(pieces, "_place")
-    rest = stage(pieces.withColumn(place, F.monotonically_increasing_id()), "pieces-numbered")
+    names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    place = "place"
+    row = F.struct(*(F.col(f"`{c}`") for c in names)).alias("row")
+    rest = stage(pieces.select(row, F.col("length").cast("long").alias("length"), F.monotonically_increasing_id().alias(place)), "pieces-numbered")
     n = rest.count()
     done, level, before = [], 0, None
     while True:
@@ -302,5 +310,5 @@ def pack(
             done.append(packed)
             break
         done.append(packed.filter(F.col("filled") >= WELL_FILLED))
-        rest, before, level = again.select(*names, place), n, level + 1
-    return reduce(DataFrame.unionByName, done).select(*names, "sequence_id", "offset")
+        rest, before, level = again.select("row", "length", place), n, level + 1
+    return reduce(DataFrame.unionByName, done).select(*(F.col(f"row.`{c}`") for c in names), "sequence_id", "offset")

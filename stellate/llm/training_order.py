@@ -69,11 +69,11 @@ def token_stream(documents: DataFrame, text: str, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, before = load(tokenizer), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 2_000):
+                some = batch.slice(at, 2_000)
                 ids = [
                     np.frombuffer(x, "<u4").astype("<u2").tobytes() + end
-                    for x in encoder.encode([t or "" for t in some.column(1).to_pylist()])
+                    for x in encoder.encode(some.column(1))
                 ]
                 n = np.array([len(x) // 2 for x in ids], np.int64)
                 places = before + np.cumsum(n) - n

@@ -67,8 +67,53 @@ def test_pieces_equal_the_tokenizer(spark, sf_dir, documents):
     assert {tuple(p) for p in pieces} == expected
 
 
-def test_special_tokens_are_ordinary_text():
-    assert len(WordTokenizer(PATH).encode(["<|endoftext|>"])[0]) > 4
+def test_random_texts_equal_the_tokenizer():
+    """Special tokens, marks, digits, other scripts and every kind of white space, next to each other."""
+    whole, r = Tokenizer.from_file(PATH), random.Random(3)
+    letters = [
+        "a", "B", "z", "É", "e\u0301", "\u0301", " ", "\t", "\n", "\x0b", "\x1c", "\x85", "\xa0", "'s", "'LL", "don't", "½", "1", "!!!",
+        ".,", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "İ", "ΟΔΟΣ", "中", "😀", "\u200b", "ﬁ", "|", "Ǆ", "\x00",
+    ]
+    texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 30))) for _ in range(4000)] + ["", None, "x" * 3000 + " " + "y" * 100]
+    found = WordTokenizer(PATH).encode(texts)
+    for text, ids in zip(texts, found):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text or "", add_special_tokens=False).ids, text
+    assert sum(49407 in np.frombuffer(x, "<u4") for x in found) > 100
+
+
+def test_a_full_table_starts_anew(monkeypatch):
+    from stellate.llm import word_tokens
+
+    monkeypatch.setattr(word_tokens, "KEPT_PIECES", 50)
+    monkeypatch.setattr(word_tokens, "CHUNK_BYTES", 200)
+    whole, encoder = Tokenizer.from_file(PATH), WordTokenizer(PATH)
+    texts = [f"word{i} other{i * 7}, {'long' * 30}{i}" for i in range(200)]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert len(encoder.known) <= 100
+
+
+def test_evolution_saves_sequences_over_best_fit(spark):
+    r = random.Random(3)
+    sizes = []
+    for _ in range(40):  # sequences that can be filled exactly
+        a, b = r.randint(200, 480), r.randint(200, 480)
+        sizes += [a, b, 1000 - a - b]
+    df = spark.createDataFrame(list(enumerate(sizes)), "id long, length long")
+    made = {}
+    for epochs in (0, 4):
+        out = packing.pack(df, capacity=1000, epochs=epochs, generations=80, population=10).collect()
+        made[epochs] = check(out, 1000)
+    assert made[4] < made[0]
+
+
+def test_clashing_columns_stay(spark):
+    names = ["block", "bin", "filled", "place", "row", "island", "sizes", "best"]
+    df = spark.createDataFrame([(i, 10 + i, *range(8)) for i in range(30)], "id long, length long, " + ", ".join(f"{n} int" for n in names))
+    out = packing.pack(df.withColumn("offset", df.id * 1000), capacity=100, block=10)
+    assert out.columns == [*df.columns, "sequence_id", "offset"]
+    assert {tuple(r[n] for n in names) for r in out.collect()} == {tuple(range(8))}
+    assert check(out.collect(), 100) >= 8
 
 
 def test_awkward_and_empty(awkward):
