@@ -8,8 +8,10 @@ class; classes are numbered once and everything below is between classes, so cop
   under a key of their sizes are linked, all of one side with all of the other, and one member of
   each side as a hub gives the same components as all those pairs.
 * Heavy sets. Shingles have one global order, rare ones first; sets that are linked share one of the
-  first n - c + 1. Their inverted lists are scanned: every member is compared with the list's hub, the
-  member that meets most others, on the full sets.
+  first n - c + 1, and their inverted lists are scanned. Members of a short list are compared with each
+  other, unless sizes or the places of the shingles they share rule a link out. In a long list every
+  member is compared with the list's hub, the member that meets most others. Pairs are confirmed on
+  the full sets.
 * What hubs leave apart. If x is not linked with its hub B, let Dx be what x and B do not have in
   common. Then x and y are linked only if Dx and Dy overlap by more than half of what Dy exceeds, a
   bound that is never below one; so Dx and Dy share a shingle near the front of one order (what B
@@ -41,7 +43,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stellate.llm.components import components
-from stellate.llm.near_duplicates import shingle_set
 from stellate.sources.staging import stage
 
 _SLICES = 64
@@ -51,7 +52,8 @@ _SLICES = 64
 class Settings:
     """shingle: words; percent: least similarity in hundredths.
 
-    most_light: no boundary above this size is tried. buckets: counters of the shingle count, a
+    most_light: no boundary above this size is tried. short: the longest list whose members are
+    compared with each other; longer ones have a hub. buckets: counters of the shingle count, a
     multiple of 64; it is the one table that every task gets, 4 bytes a counter. A shingle stands out
     in it if it is counted more often than a few times the root of what chance puts in a bucket.
     """
@@ -59,6 +61,7 @@ class Settings:
     shingle: int = 5
     percent: int = 80
     most_light: int = 24
+    short: int = 16
     buckets: int = 1 << 22
 
     def common(self, n: int, m: int) -> int:
@@ -87,6 +90,76 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(28))
 
 
+_STEP = 0xD6E8FEB86659FD93
+_BACK = pow(_STEP, -1, 2**64)
+_GAP = np.zeros(256, bool)
+_GAP[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256)
+_LOWER[65:91] += 32
+with np.errstate(over="ignore"):
+    #: A random number for each byte, the same for both cases of a letter.
+    _BYTE = _mix(_mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(_STEP)))[_LOWER]
+#: Texts of so many bytes are hashed at a time.
+_TOGETHER = 1 << 19
+
+
+@lru_cache(maxsize=8)
+def _powers(base: int, size: int) -> np.ndarray:
+    factors = np.full(size, base, np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors, dtype=np.uint64)
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
+def _sets_of(raws: list[bytes], span: int) -> Iterator[np.ndarray]:
+    """Sets of some texts at once: hashes of words are sums over bytes, of shingles sums over words."""
+    data = np.frombuffer(b"\n".join(raws) + b"\n", np.uint8)
+    gap = _GAP[data]
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], gap])))
+    starts, ends = edges[::2], edges[1::2]
+    size = 1 << max(20, len(data).bit_length())
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _powers(_STEP, size)[: len(data)], dtype=np.uint64)])
+    words = _mix(_mix((sums[ends] - sums[starts]) * _powers(_BACK, size)[starts] ^ (ends - starts).astype(np.uint64)))
+    stops = np.searchsorted(starts, np.cumsum([len(x) + 1 for x in raws]))
+    weights = _powers(0x9E3779B97F4A7C15, 64)
+
+    def combined(low: int, high: int, n: int) -> np.ndarray:
+        """Runs of n words between two places."""
+        total = np.full(high - low - n + 1, np.uint64(n), np.uint64)
+        for k in range(n):
+            total += words[low + k : high - n + 1 + k] * weights[k + 1]
+        return _mix(_mix(total))
+
+    every = combined(0, len(words), span) if len(words) >= span else words[:0]
+    low = 0
+    for high in stops.tolist():
+        if high - low >= span:
+            yield _distinct(every[low : high - span + 1])
+        else:
+            yield combined(low, high, high - low) if high > low else words[:0]
+        low = high
+
+
+def shingle_sets(texts: list[str | None], span: int) -> Iterator[np.ndarray]:
+    """For each text: the sorted distinct hashes of its runs of ``span`` words, A-Z in lower case; one
+    run of all its words if it has fewer; nothing without words."""
+    raws: list[bytes] = []
+    held = 0
+    with np.errstate(over="ignore"):
+        for text in texts:
+            raws.append((text or "").encode("utf-8", "surrogatepass"))
+            held += len(raws[-1])
+            if held >= _TOGETHER:
+                yield from _sets_of(raws, span)
+                raws, held = [], 0
+        if raws:
+            yield from _sets_of(raws, span)
+
+
 def _identity(own: np.ndarray) -> tuple[int, int, int]:
     """Size and two hashes of a set."""
     one, two = own.sum(dtype=np.uint64), _mix(own).sum(dtype=np.uint64)
@@ -107,8 +180,7 @@ def _sized(documents: DataFrame, key: str, text: str, s: Settings) -> tuple[Data
         with np.errstate(over="ignore"):
             for batch in batches:
                 rows, met = [], []
-                for x in batch.column(1).to_pylist():
-                    own = shingle_set(x, s.shingle)
+                for own in shingle_sets(batch.column(1).to_pylist(), s.shingle):
                     met.append((own % np.uint64(s.buckets)).astype(np.int64))
                     rows.append(_identity(own))
                 n = len(rows)
@@ -188,8 +260,7 @@ def _classes(documents: DataFrame, text: str, s: Settings, counts: np.ndarray, l
         with np.errstate(over="ignore"):
             for batch in batches:
                 rows = []
-                for x in batch.column(0).to_pylist():
-                    own = shingle_set(x, s.shingle)
+                for own in shingle_sets(batch.column(0).to_pylist(), s.shingle):
                     n = len(own)
                     if not n:
                         continue
@@ -231,13 +302,40 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def _list_members(classes: DataFrame, s: Settings) -> DataFrame:
-    """Entries (shingle, class, n, k) of the inverted lists in which a pair can meet; k is their length."""
-    # Of two linked sets the smaller has a common shingle among its first n - c(n, n) + 1.
-    short = F.col("n") - F.ceil(F.lit(2 * s.percent) * F.col("n") / (100 + s.percent)) + 1
-    entries = classes.select("class", "n", short.alias("short"), F.posexplode("front").alias("at", "shingle"))
-    entries = entries.select("shingle", "class", "n", (F.col("at") < F.col("short")).alias("near"))
-    lists = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("k"), F.max("near").alias("any")).filter("k > 1 AND any")
-    return stage(entries.drop("near").join(stage(lists.select("shingle", "k"), "set-lists"), "shingle"), "set-members")
+    """Entries (shingle, class, n, at, near, k) of the inverted lists of several sets.
+
+    ``at`` is the shingle's place in the set's order, k the length of the list. Of two linked sets the
+    smaller has a common shingle that is ``near``: among its first n - c(n, n) + 1.
+    """
+    first = F.col("n") - F.ceil(F.lit(2 * s.percent) * F.col("n") / (100 + s.percent)) + 1
+    entries = classes.select("class", "n", first.alias("first"), F.posexplode("front").alias("at", "shingle"))
+    entries = entries.select("shingle", "class", "n", "at", (F.col("at") < F.col("first")).alias("near"))
+    lists = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    return stage(entries.join(stage(lists, "set-lists"), "shingle"), "set-members")
+
+
+def _short_list_pairs(members: DataFrame, s: Settings) -> DataFrame:
+    """Pairs (a, b, shared) that meet in short lists and can be linked.
+
+    Up to the last places i and j of a shingle they share there, two sets have the m shingles that
+    they share there in common, and at most as many more as either has in long lists; behind those
+    places at most what is left of either. A pair whose near shingle is in a long list meets a hub.
+    """
+    many = members.groupBy("class").agg(F.sum((F.col("k") > s.short).cast("long")).alias("long_lists"))
+    entries = members.filter(F.col("k") <= s.short).join(many, "class")
+
+    def side(name: str) -> list:
+        return ["shingle", *(F.col(c).alias(f"{c}_{name}") for c in ("class", "n", "at", "near", "long_lists"))]
+
+    both = entries.select(*side("a")).join(entries.select(*side("b")), "shingle")
+    # The smaller set comes first; of equal sizes, the smaller number.
+    both = both.filter("(n_a < n_b OR (n_a = n_b AND class_a < class_b))").filter(100 * F.col("n_a") >= s.percent * F.col("n_b"))
+    met = both.groupBy("class_a", "class_b", "n_a", "n_b", "long_lists_a", "long_lists_b").agg(
+        F.count(F.lit(1)).alias("shared"), F.max("at_a").alias("i"), F.max("at_b").alias("j"), F.max("near_a").alias("near")
+    )
+    most = F.col("shared") + F.least("long_lists_a", "long_lists_b") + F.least(F.col("n_a") - F.col("i"), F.col("n_b") - F.col("j")) - 1
+    can = most * (100 + s.percent) >= s.percent * (F.col("n_a") + F.col("n_b"))
+    return met.filter(can & F.col("near")).select(F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b"), "shared")
 
 
 def _packed(documents: DataFrame, text: str, classes: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
@@ -248,8 +346,8 @@ def _packed(documents: DataFrame, text: str, classes: DataFrame, wanted: DataFra
         with np.errstate(over="ignore"):
             for batch in batches:
                 rows = []
-                for x in batch.column(0).to_pylist():
-                    own = shingle_set(x, s.shingle)
+                texts = batch.column(0).to_pylist()
+                for x, own in zip(texts, shingle_sets(texts, s.shingle)):
                     if len(own):
                         rows.append((*_identity(own), _compressed(x)))
                 columns = list(zip(*rows)) or [()] * 4
@@ -267,8 +365,7 @@ def _compressed(text: str) -> bytes:
 
 def _set_of(packed: bytes, s: Settings) -> np.ndarray:
     data = pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
-    with np.errstate(over="ignore"):
-        return shingle_set(data.decode("utf-8", "surrogatepass"), s.shingle)
+    return next(shingle_sets([data.decode("utf-8", "surrogatepass")], s.shingle))
 
 
 class _Sets:
@@ -357,6 +454,19 @@ def _across(around: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     return _ordered(met.filter(near).select(F.col("x").alias("a"), F.col("class").alias("b")))
 
 
+def _with_partners_by_size(left: DataFrame, s: Settings) -> DataFrame:
+    """The members around a hub that have one of another component within the sizes of a link.
+
+    Linked sizes fall into the same class of sizes or two that touch; a class spans a little more than
+    the ratio of the threshold.
+    """
+    size = F.floor(F.log(F.col("n")) / (F.log(F.lit(100 / s.percent)) * 1.0001 + 1e-9)).cast("int")
+    sized = left.withColumn("size", size)
+    near = sized.select("hub", "component", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)).alias("size"))
+    met = near.groupBy("hub", "size").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    return stage(sized.join(stage(met.select("hub", "size"), "set-sizes-met"), ["hub", "size"], "left_semi").select("class", "hub", "component"), "set-left")
+
+
 def linked(documents: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings | None = None, light: int | None = None) -> DataFrame:
     """Per row: its key (``id``), n_shingles, component_id (the smallest key it reaches).
 
@@ -372,17 +482,20 @@ def linked(documents: DataFrame, key: str = "doc_id", text: str = "text", settin
     links = stage(_light_links(classes), "set-light")
 
     members = _list_members(classes, s)
-    central = members.groupBy("class").agg(F.sum("k").alias("score"))
-    scored = members.join(central, "class")
+    pairs = _short_list_pairs(members, s)
+    long = members.filter(F.col("k") > s.short).select("shingle", "class", "n", "k")
+    central = long.groupBy("class").agg(F.sum("k").alias("score"))
+    scored = long.join(central, "class")
     hubs = scored.groupBy("shingle").agg(F.max_by("class", F.struct("score", -F.col("class"))).alias("hub"), F.max_by("n", F.struct("score", -F.col("class"))).alias("nh"))
-    around = stage(members.join(stage(hubs, "set-list-hubs"), "shingle").filter("class != hub"), "set-around")
+    around = stage(long.join(stage(hubs, "set-list-hubs"), "shingle").filter("class != hub"), "set-around")
     near = 100 * F.least("n", "nh") >= s.percent * F.greatest("n", "nh")
-    stars = (
+    with_hub = (
         around.filter(near).select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b"))
         .groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
     )
-    stars = stage(stars, "set-stars")
-    texts = _packed(documents, text, classes, members.select("class").distinct(), s)
+    stars = stage(pairs.unionByName(with_hub).groupBy("a", "b").agg(F.max("shared").alias("shared")), "set-stars")
+    ends_of = stars.select(F.explode(F.array("a", "b")).alias("class")).unionByName(long.select("class"))
+    texts = _packed(documents, text, classes, ends_of.distinct(), s)
 
     # The most promising partner of each first: it settles most components.
     ends = F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y"))))
@@ -403,10 +516,11 @@ def linked(documents: DataFrame, key: str = "doc_id", text: str = "text", settin
         found = components(links)
 
     own = F.coalesce("component", "class").alias("component")
-    placed = around.select("shingle", "class", "hub").join(found.withColumnRenamed("id", "class"), "class", "left")
-    placed = placed.select("shingle", "class", "hub", own)
+    placed = around.select("shingle", "class", "n", "hub").join(found.withColumnRenamed("id", "class"), "class", "left")
+    placed = placed.select("shingle", "class", "n", "hub", own)
     mixed = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("shingle")
-    left = stage(placed.join(stage(mixed, "set-mixed"), "shingle").select("class", "hub", "component").distinct(), "set-left")
+    left = placed.join(stage(mixed, "set-mixed"), "shingle").select("class", "n", "hub", "component").distinct()
+    left = _with_partners_by_size(stage(left, "set-left"), s)
     if not left.isEmpty():
         across = stage(_across(left, texts, s), "set-across")
         if not across.isEmpty():

@@ -66,16 +66,27 @@ def made_up(seed):
     return [(i if i % 17 else None, t) for i, t in enumerate(texts)] + [(3, "quite another text under a key that is taken")]
 
 
-@pytest.mark.parametrize("light", [None, 0, 9, 24])
-def test_equals_brute_force(spark, documents, light):
-    pairs = made_up(1)
-    assert found(documents(pairs), FOUR, light=light) == brute(pairs, FOUR)
+@pytest.mark.parametrize(("light", "short"), [(None, 16), (0, 1), (0, 100), (9, 4), (24, 2)])
+def test_equals_brute_force(spark, documents, light, short):
+    pairs, s = made_up(1), j.Settings(shingle=4, percent=85, short=short)
+    assert found(documents(pairs), s, light=light) == brute(pairs, s)
 
 
-def test_other_thresholds(documents):
-    for seed, s in ((2, j.Settings()), (3, j.Settings(shingle=1, percent=60)), (4, j.Settings(shingle=2, percent=95))):
-        pairs = made_up(seed)
-        assert found(documents(pairs), s) == brute(pairs, s)
+@pytest.mark.parametrize(("shingle", "percent", "short"), [(5, 80, 16), (1, 60, 3), (2, 95, 1)])
+def test_other_thresholds(documents, shingle, percent, short):
+    pairs, s = made_up(shingle), j.Settings(shingle=shingle, percent=percent, short=short)
+    assert found(documents(pairs), s) == brute(pairs, s)
+
+
+def test_sets_are_those_of_the_texts():
+    rng = random.Random(4)
+    texts = ["", None, " a", "a b c d e a b c d", " \n", "A", "a", "É x y z w", "x\x0by\x0cz", "a" * 5000]
+    texts += [" ".join(rng.choice(["a", "b", "A", "B", "ab"]) for _ in range(rng.randrange(10))) for _ in range(400)]
+    known = {}
+    for text, own in zip(texts, j.shingle_sets(texts, 4)):
+        assert (np.diff(own.astype(float)) > 0).all() and len(own) == len(shingles(text, 4))
+        assert known.setdefault(shingles(text, 4), own.tobytes()) == own.tobytes()
+    assert len(set(known.values())) == len(known)
 
 
 def test_links_that_no_hub_makes(documents):
@@ -91,6 +102,7 @@ def test_links_that_no_hub_makes(documents):
     pairs += [(at + i, edited(base, 1, rng)) for i in range(40)]
     expected = brute(pairs, FOUR)
     assert found(documents(pairs), FOUR) == expected
+    assert found(documents(pairs), j.Settings(shingle=4, percent=85, short=2)) == expected
     assert 5 < len({r[2] for r in expected}) < len(pairs)
 
 
