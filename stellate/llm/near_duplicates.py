@@ -1,7 +1,7 @@
 """Near-duplicate documents: MinHash bands, sequential Bayesian verification, exact confirmation.
 
 A document is the set of hashes of its shingles (runs of words). Documents with equal sets are one
-class, represented by the smallest id. Classes meet in bands of their MinHash signatures. Each
+class, numbered once. Classes meet in bands of their MinHash signatures. Each
 bucket of a band links its members to a leader, the member that meets most others over all bands:
 in a large group of near copies that is the text they were made from, and the pairs of the group
 need not be listed.
@@ -10,19 +10,21 @@ A pair is compared batch by batch over the signature: after each batch it goes a
 posterior probability that its similarity reaches the threshold falls below ``miss``. The pairs
 that survive are verified exactly on the full sets: first the most similar partner of each class,
 then the other pairs that are still in different components. Two members of a bucket that the leader
-does not connect can only be linked if they share shingles that it lacks, or if one has lost many
-of its shingles; such pairs are found by those shingles and sizes, so no link between components is
-left out because a leader was not similar enough.
-
-Texts without words, NULL and empty texts have no shingles and are linked with nothing. Shorter
-texts than a shingle are one shingle. Repeated rows are in one class.
+does not connect can only be linked if they share some of what they do not share with it; such pairs
+are found by those shingles (``sets``), so no link between components is left out because a leader
+was not similar enough. The texts that verifications need are written once, one for each class.
+
+Rows are documents, whatever their key: rows with one key and different texts are two documents, and
+a NULL key is no smallest key. Texts without words, NULL and empty texts have no shingles and are
+linked with nothing. Shorter texts than a shingle are one shingle; very long texts are read whole.
+Equal texts and repeated rows are one class. An empty table gives an empty result. Only the key and
+the text are read, so other columns may have any name.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from math import lgamma, log
 
 import numpy as np
@@ -30,7 +32,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.components import components
+from stellate.llm.frames import free_name
+from stellate.llm.sets import (
+    IDENTITY,
+    class_texts,
+    confirm_across,
+    confirmed_components,
+    identity,
+    named_components,
+    shingle_sets,
+)
 from stellate.sources.staging import stage
 
 
@@ -52,54 +63,15 @@ class Settings:
     seed: int = 7
 
 
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-_STEP = 0xD6E8FEB86659FD93
-_BACK = pow(_STEP, -1, 2**64)
-_GAPS = np.zeros(256, bool)
-_GAPS[[9, 10, 11, 12, 13, 32]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_BYTES = _mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
-
-
-@lru_cache(maxsize=4)
-def _powers(base: int, size: int) -> np.ndarray:
-    steps = np.concatenate([np.ones(1, np.uint64), np.full(size, base, np.uint64)])
-    return np.cumprod(steps, dtype=np.uint64)
-
-
-def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of every word, A-Z in lower case: a polynomial of its bytes, then mixed."""
-    data = np.frombuffer(text, np.uint8)
-    edge = np.diff(np.concatenate([[True], _GAPS[data], [True]]).astype(np.int8))
-    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    size = 1 << max(12, len(data).bit_length())
-    terms = _BYTES[_LOWER[data]] * _powers(_STEP, size)[: len(data)]
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
-    shifted_back = (sums[ends] - sums[starts]) * _powers(_BACK, size)[starts]
-    return _mix(shifted_back ^ (ends - starts).astype(np.uint64))
-
-
-def shingle_set(text: str | None, words: int) -> np.ndarray:
-    """Sorted distinct hashes of all runs of ``words`` words, of the whole text if it has fewer."""
-    if not text:
-        return np.zeros(0, np.uint64)
-    hashes = word_hashes(text.encode("utf-8", "surrogatepass"))
-    if not len(hashes):
-        return hashes
-    span = min(words, len(hashes))
-    total = np.full(len(hashes) - span + 1, np.uint64(span), np.uint64)
-    for i in range(span):
-        total = _mix(total * _ODD + hashes[i : i + len(total)])
-    return np.unique(total)
-
-
 def _signature(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """Smallest value under each of many hashes; shingles are mixed already."""
     out = np.full(len(seeds), np.iinfo(np.uint64).max, np.uint64)
@@ -110,21 +82,18 @@ def _signature(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
 
 
 def signatures(documents: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
-    """Per document: id, n shingles, two hashes of the whole set, band keys, short signature."""
+    """Per row: id, text_hash, n shingles, two hashes of the whole set, band keys, short signature."""
     s = settings
-    schema = "id long, n long, set1 long, set2 long, bands array<long>, signature binary"
-    arrow = pa.schema(
-        [("id", pa.int64()), ("n", pa.int64()), ("set1", pa.int64()), ("set2", pa.int64()),
-         ("bands", pa.list_(pa.int64())), ("signature", pa.binary())]
-    )
+    schema = f"id long, text_hash long, {IDENTITY}, bands array<long>, signature binary"
+    names = ["id", "text_hash", "n", "set1", "set2", "bands", "signature"]
+    kinds = [pa.int64()] * 3 + [pa.list_(pa.int64()), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             seeds = _mix(np.arange(1, s.bands * s.rows + 1, dtype=np.uint64) * _ODD + np.uint64(s.seed))
             for batch in batches:
                 rows = []
-                for x in batch.column(1).to_pylist():
-                    own = shingle_set(x, s.shingle)
+                for own in shingle_sets(batch.column(2).to_pylist(), s.shingle):
                     if not len(own):
                         rows.append((0, 0, 0, None, None))
                         continue
@@ -132,16 +101,13 @@ def signatures(documents: DataFrame, key: str, text: str, settings: Settings) ->
                     band = np.arange(s.bands, dtype=np.uint64)
                     for r in range(s.rows):
                         band = _mix(band * _ODD + values[r :: s.rows][: s.bands])
-                    one, two = own.sum(dtype=np.uint64), _mix(own * _ODD).sum(dtype=np.uint64)
-                    rows.append(
-                        (len(own), int(one.view(np.int64)), int(two.view(np.int64)), band.view(np.int64), values.astype(np.uint8).tobytes())
-                    )
+                    rows.append((*identity(own), band.view(np.int64), values.astype(np.uint8).tobytes()))
                 columns = list(zip(*rows)) or [()] * 5
-                arrays = [batch.column(0).cast(pa.int64())]
-                arrays += [pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:])]
-                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+                arrays = [batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(columns, kinds))]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return documents.select(key, text).mapInArrow(run, schema)
+    rows = documents.select(F.col(f"`{key}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"), F.col(f"`{text}`").alias("text"))
+    return rows.mapInArrow(run, schema)
 
 
 def least_matches(settings: Settings) -> list[tuple[int, int]]:
@@ -191,209 +157,70 @@ def _compared(pairs: DataFrame, signed: DataFrame, settings: Settings) -> DataFr
             )
 
     # Sizes alone bound the similarity: the smaller set is at most the intersection.
-    a = signed.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa"))
-    b = signed.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
+    a = signed.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa"))
+    b = signed.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
     near = (100 * F.least("na", "nb")) >= (settings.percent * F.greatest("na", "nb"))
     return (
         pairs.join(a, "a").join(b, "b").filter(near).select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, matches long")
     )
 
 
-def _sets(ids: DataFrame, documents: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
-    """The full shingle sets of some documents."""
-    texts = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                own = [shingle_set(x, settings.shingle).tobytes() for x in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["id", "shingles"])
-
-    some = texts.join(ids, "id", "left_semi").dropDuplicates(["id"])
-    return stage(some.mapInArrow(run, "id long, shingles binary"), "shingle-sets")
-
-
-def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "sa", "sb")
-
-
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-
-
-def _verified(pairs: DataFrame, documents: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
-
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= settings.percent * (len(x) + len(y) - common))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(mask) for i in (0, 1)], names=["a", "b"])
-
-    joined = _with_sets(pairs, _sets(_ends(pairs), documents, key, text, settings))
-    return stage(joined.mapInArrow(confirm, "a long, b long"), "near-links")
-
-
-def _across(around: DataFrame, documents: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
-    """Pairs of different components around one leader that could still be linked.
-
-    ``around`` has id, leader and component. Let B be the leader's set, x = B - X- + X+ the set of
-    one that is not linked with it, y = B - Y- + Y+ any other, and t the threshold. With r removed
-    and a added shingles in common, x and y are linked if
-    (r + a)(1 + t) >= t|Y+| + |Y-| + d, where d = t(|B| + |X+|) - (|B| - |X-|) > 0.
-    As r <= |Y-|, either they share an added shingle, or d <= t(|Y-| - |Y+|) = t(|B| - |y|). Of two
-    in different components one is not linked with the leader, so these two joins find all pairs.
-    """
-
-    def differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "leader", "missed", "shrunk", "added"]
-        for batch in batches:
-            missed, shrunk, added = [], [], []
-            for x, base in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, base = np.frombuffer(x, np.uint64), np.frombuffer(base, np.uint64)
-                new = np.setdiff1d(x, base, assume_unique=True)
-                common = len(x) - len(new)
-                missed.append(settings.percent * (len(base) + len(new)) - 100 * common)
-                shrunk.append(settings.percent * (len(base) - len(x)))
-                added.append(new.view(np.int64))
-            columns = [pa.array(missed, pa.int64()), pa.array(shrunk, pa.int64()), pa.array(added, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=names)
-
-    pairs = around.select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
-    sets = _sets(_ends(pairs), documents, key, text, settings)
-    schema = "id long, leader long, missed long, shrunk long, added array<long>"
-    apart = stage(
-        _with_sets(pairs, sets).mapInArrow(differences, schema).join(around.select("id", "component").distinct(), "id"),
-        "near-differences",
-    )
-    # Both figures are in hundredths. One that missed the leader by far needs many shingles in
-    # common, so all but that many of its own, in a fixed order, are enough to meet the other.
-    smallest = apart.groupBy("leader").agg(F.greatest(F.max("shrunk"), F.lit(0)).alias("most"))
-    needed = F.ceil((F.col("missed") - F.col("most")) / F.lit(100 + settings.percent)).cast("int")
-    spared = F.greatest(F.size("added") - F.greatest(needed, F.lit(1)) + 1, F.lit(0))
-    first = (
-        apart.filter("missed > 0").join(smallest, "leader")
-        .select(
-            "leader", F.col("id").alias("x"), F.col("component").alias("cx"),
-            F.explode(F.slice("added", F.lit(1), spared)).alias("shingle"),
-        )
-    )
-    new = apart.select("leader", "id", "component", "missed", F.explode("added").alias("shingle"))
-    shared = (
-        new.groupBy("leader", "shingle")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low < high")
-        .select("leader", "shingle")
-    )
-    by_shingle = (
-        first.join(shared, ["leader", "shingle"], "left_semi")
-        .join(new, ["leader", "shingle"])
-        .filter("cx != component AND (missed <= 0 OR x < id)")
-        .select("id", F.col("x").alias("y"))
-    )
-
-    near = (
-        apart.filter("missed > 0").join(smallest, "leader").filter("missed <= most AND most > 0")
-        .select("leader", F.col("id").alias("x"), "missed", F.col("component").alias("cx"))
-    )
-    small = apart.filter("shrunk > 0").select("leader", "id", "shrunk", "component")
-    by_size = near.join(small, "leader").filter("missed <= shrunk AND cx != component").select(F.col("id"), F.col("x").alias("y"))
-    both = by_shingle.unionByName(by_size)
-    return both.select(*_pair(F.col("id"), F.col("y"))).distinct()
-
-
 def _pair(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings | None = None) -> DataFrame:
-    """Per document: id, n_shingles, component_id (smallest id it reaches).
-
-    ``key`` is an integer column; a row without key is dropped, rows with one key are one document.
-    """
-    s = settings or Settings()
-    documents = documents.filter(F.col(key).isNotNull())
+def _grouped(documents: DataFrame, key: str, text: str, s: Settings) -> DataFrame:
+    """Every row: id, text_hash, n, set1, set2, component (a number; NULL without words), component_id."""
     signed = stage(signatures(documents, key, text, s), "signatures")
-    with_set = signed.filter("n > 0")
-    classes = with_set.groupBy("n", "set1", "set2").agg(F.min("id").alias("class"))
-    alone = stage(with_set.join(classes.select(F.col("class").alias("id")), "id").dropDuplicates(["id"]), "signature-classes")
-    bands = alone.select("id", F.posexplode("bands").alias("band", "value"))
+    one = signed.filter("n > 0").groupBy("n", "set1", "set2").agg(F.first("bands").alias("bands"), F.first("signature").alias("signature"))
+    classes = stage(one.withColumn("class", F.monotonically_increasing_id()), "signature-classes")
+    bands = classes.select("class", "n", F.posexplode("bands").alias("band", "value"))
     shared = bands.groupBy("band", "value").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-    met = stage(bands.join(shared, ["band", "value"]), "band-members")
+    met = stage(bands.join(stage(shared, "band-shared"), ["band", "value"]), "band-members")
     # The text that copies were made from shares more bands with them than they do with each other.
-    central = met.groupBy("id").agg(F.sum("k").alias("score"))
-    scored = met.join(central, "id").select("band", "value", "id", "score")
-    leaders = scored.groupBy("band", "value").agg(
-        F.max_by("id", F.struct(F.col("score"), -F.col("id"))).alias("leader")
+    central = met.groupBy("class").agg(F.sum("k").alias("score"))
+    leaders = met.join(central, "class").groupBy("band", "value").agg(
+        F.max_by("class", F.struct(F.col("score"), -F.col("class"))).alias("leader")
     )
-    members = met.select("band", "value", "id").join(leaders, ["band", "value"])
-    short = alone.select("id", "n", "signature")
-    stars = members.filter("id != leader").select(*_pair(F.col("id"), F.col("leader"))).distinct()
-    survivors = stage(_compared(stars, short, s), "near-survivors")
-
-    best = (
-        survivors.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("other")), F.struct(F.col("b").alias("id"), F.col("a").alias("other")))).alias("x"), "matches")
-        .groupBy("x.id")
-        .agg(F.max_by("x.other", F.struct(F.col("matches"), -F.col("x.other"))).alias("other"))
-        .select(*_pair(F.col("id"), F.col("other")))
-        .distinct()
-    )
-    links = _verified(best, documents, key, text, s)
-    found = components(links)
-
-    def apart(pairs: DataFrame) -> DataFrame:
-        a = found.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-        b = found.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-        return (
-            pairs.join(a, "a", "left").join(b, "b", "left")
-            .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
-            .select("a", "b")
-        )
-
-    more = stage(apart(survivors.join(best, ["a", "b"], "left_anti")), "near-rest")
-    if not more.isEmpty():
-        links = links.unionByName(_verified(more, documents, key, text, s))
-        found = components(links)
+    members = met.select("band", "value", "class", "n").join(stage(leaders, "band-leaders"), ["band", "value"])
+    stars = members.filter("class != leader").select(*_pair(F.col("class"), F.col("leader"))).distinct()
+    short = classes.select("class", "n", "signature")
+    survivors = stage(_compared(stars, short, s).withColumnRenamed("matches", "shared"), "near-survivors")
 
+    texts = class_texts(documents, text, classes, met.select("class").distinct(), s.shingle)
+    links, found = confirmed_components(None, survivors, texts, s.shingle, s.percent)
     # What a leader did not connect: buckets that still hold several components.
-    own = F.coalesce("component", "id").alias("component")
-    placed = members.join(found, "id", "left").select("band", "value", "id", "leader", own)
-    mixed = (
-        placed.groupBy("band", "value")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low < high")
-        .select("band", "value")
-    )
-    around = stage(
-        placed.join(mixed, ["band", "value"], "left_semi").select("id", "leader", "component").distinct(), "near-around"
-    )
-    across = _across(around, documents, key, text, s).join(stars, ["a", "b"], "left_anti")
-    last = stage(_compared(across, short, s), "near-across")
-    if not last.isEmpty():
-        links = links.unionByName(_verified(last, documents, key, text, s))
-        found = components(links)
-
-    in_class = with_set.join(classes, ["n", "set1", "set2"]).select("id", "n", "class")
-    grouped = in_class.join(found.withColumnRenamed("id", "class"), "class", "left").select(
-        "id", F.col("n").alias("n_shingles"), F.coalesce("component", "class").alias("component_id")
-    )
-    empty = signed.filter("n = 0").select("id", F.lit(0).cast("long").alias("n_shingles"), F.col("id").alias("component_id"))
-    return grouped.unionByName(empty)
+    around = members.filter("class != leader").select(F.struct("band", "value").alias("list"), "class", "n", F.col("leader").alias("hub"))
+    _, found = confirm_across(links, found, around, texts, s.shingle, s.percent)
+    return named_components(signed.drop("bands", "signature"), classes, found)
+
+
+def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings | None = None) -> DataFrame:
+    """Per row: id, n_shingles, component_id (smallest id it reaches). ``key`` is an integer column."""
+    found = _grouped(documents, key, text, settings or Settings())
+    return found.select("id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings | None = None) -> DataFrame:
-    """The documents with the smallest id of their component; rows without id stay.
+    """One row of every component, the one with the smallest key; rows without words all stay.
 
-    Rows that repeat an id are one document, of which one row stays.
+    A row without key is chosen only if all of its component are; of repeated rows one stays.
     """
-    found = near_duplicates(documents, key, text, settings)
-    kept = found.filter("id = component_id").select(F.col("id").alias("_kept")).distinct()
-    known = documents.filter(F.col(key).isNotNull())
-    chosen = known.join(kept, F.col(key).cast("long") == F.col("_kept"), "left_semi").dropDuplicates([key])
-    return chosen.unionByName(documents.filter(F.col(key).isNull()))
+    mine, mark = free_name(documents, "_kept"), free_name(documents, "_key")
+    found = stage(_grouped(documents, key, text, settings or Settings()).select("id", "text_hash", "component"), "near-groups")
+    grouped = found.filter("component IS NOT NULL")
+    first = grouped.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("without"), "id", "text_hash")).alias("first"))
+    chosen = first.select("component", F.col("first.id").alias("id"), F.col("first.text_hash").alias("text_hash"))
+    alike = grouped.groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("k"))
+    named = F.struct("id", F.col("text_hash").alias("text")).alias(mine)
+    same = (chosen["id"].eqNullSafe(alike["id"])) & (chosen["text_hash"] == alike["text_hash"])
+    kept = stage(chosen.join(alike, same).select(F.struct(chosen["id"], chosen["text_hash"].alias("text")).alias(mine), "k"), "near-kept")
+    empty = found.filter("component IS NULL").select(named).distinct()
+    typed = F.struct(F.col(f"`{key}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text"))
+    single = kept.filter("k = 1").select(mine).unionByName(empty)
+    chosen_rows = documents.join(single, typed == F.col(mine), "left_semi")
+    repeated = kept.filter("k > 1").select(mine)
+    if repeated.isEmpty():
+        return chosen_rows
+    copies = documents.withColumn(mark, typed)
+    return chosen_rows.unionByName(copies.join(repeated, F.col(mark) == F.col(mine), "left_semi").dropDuplicates([mark]).drop(mark))

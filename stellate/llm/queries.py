@@ -225,7 +225,7 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"),
         "n_shingles",
         "component_id",
-        (F.col("id") == F.col("component_id")).alias("kept"),
+        F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"),
     )
 
 

@@ -12,10 +12,8 @@ class; classes are numbered once and everything below is between classes, so cop
   other, unless sizes or the places of the shingles they share rule a link out. In a long list every
   member is compared with the list's hub, the member that meets most others. Pairs are confirmed on
   the full sets.
-* What hubs leave apart. If x is not linked with its hub B, let Dx be what x and B do not have in
-  common. Then x and y are linked only if Dx and Dy overlap by more than half of what Dy exceeds, a
-  bound that is never below one; so Dx and Dy share a shingle near the front of one order (what B
-  lacks first), and the lists of these differences are scanned for the pairs that remain.
+* What hubs leave apart: members of a long list that are linked with each other but not with the hub
+  share some of what they do not share with it; lists of these differences give the pairs (``sets``).
 
 The boundary between light and heavy is the size at which the number of keys that enumeration would
 emit and the list entries that scanning would read add up to the least, from the histogram of sizes
@@ -30,7 +28,6 @@ and repeated rows are one class. An empty table gives an empty result, and no ot
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -42,7 +39,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.components import components
+from stellate.llm.sets import (
+    IDENTITY,
+    class_texts,
+    confirm_across,
+    confirmed_components,
+    identity,
+    least_common,
+    mix,
+    named_components,
+    ordered,
+    shingle_sets,
+)
 from stellate.sources.staging import stage
 
 _SLICES = 64
@@ -66,7 +74,7 @@ class Settings:
 
     def common(self, n: int, m: int) -> int:
         """The least common shingles of linked sets of these sizes."""
-        return -(-self.percent * (n + m) // (100 + self.percent))
+        return least_common(self.percent, n, m)
 
     def fits(self, n: int, m: int) -> bool:
         return 100 * min(n, m) >= self.percent * max(n, m)
@@ -85,93 +93,9 @@ class Settings:
         return sum(comb(n, self.common(*p)) for p in self.size_pairs(n, boundary))
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
-    return x ^ (x >> np.uint64(28))
-
-
-_STEP = 0xD6E8FEB86659FD93
-_BACK = pow(_STEP, -1, 2**64)
-_GAP = np.zeros(256, bool)
-_GAP[[9, 10, 11, 12, 13, 32]] = True
-_LOWER = np.arange(256)
-_LOWER[65:91] += 32
-with np.errstate(over="ignore"):
-    #: A random number for each byte, the same for both cases of a letter.
-    _BYTE = _mix(_mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(_STEP)))[_LOWER]
-#: Texts of so many bytes are hashed at a time.
-_TOGETHER = 1 << 19
-
-
-@lru_cache(maxsize=8)
-def _powers(base: int, size: int) -> np.ndarray:
-    factors = np.full(size, base, np.uint64)
-    factors[0] = 1
-    return np.cumprod(factors, dtype=np.uint64)
-
-
-def _distinct(values: np.ndarray) -> np.ndarray:
-    values = np.sort(values)
-    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
-
-
-def _sets_of(raws: list[bytes], span: int) -> Iterator[np.ndarray]:
-    """Sets of some texts at once: hashes of words are sums over bytes, of shingles sums over words."""
-    data = np.frombuffer(b"\n".join(raws) + b"\n", np.uint8)
-    gap = _GAP[data]
-    edges = np.flatnonzero(np.diff(np.concatenate([[True], gap])))
-    starts, ends = edges[::2], edges[1::2]
-    size = 1 << max(20, len(data).bit_length())
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _powers(_STEP, size)[: len(data)], dtype=np.uint64)])
-    words = _mix(_mix((sums[ends] - sums[starts]) * _powers(_BACK, size)[starts] ^ (ends - starts).astype(np.uint64)))
-    stops = np.searchsorted(starts, np.cumsum([len(x) + 1 for x in raws]))
-    weights = _powers(0x9E3779B97F4A7C15, 64)
-
-    def combined(low: int, high: int, n: int) -> np.ndarray:
-        """Runs of n words between two places."""
-        total = np.full(high - low - n + 1, np.uint64(n), np.uint64)
-        for k in range(n):
-            total += words[low + k : high - n + 1 + k] * weights[k + 1]
-        return _mix(_mix(total))
-
-    every = combined(0, len(words), span) if len(words) >= span else words[:0]
-    low = 0
-    for high in stops.tolist():
-        if high - low >= span:
-            yield _distinct(every[low : high - span + 1])
-        else:
-            yield combined(low, high, high - low) if high > low else words[:0]
-        low = high
-
-
-def shingle_sets(texts: list[str | None], span: int) -> Iterator[np.ndarray]:
-    """For each text: the sorted distinct hashes of its runs of ``span`` words, A-Z in lower case; one
-    run of all its words if it has fewer; nothing without words."""
-    raws: list[bytes] = []
-    held = 0
-    with np.errstate(over="ignore"):
-        for text in texts:
-            raws.append((text or "").encode("utf-8", "surrogatepass"))
-            held += len(raws[-1])
-            if held >= _TOGETHER:
-                yield from _sets_of(raws, span)
-                raws, held = [], 0
-        if raws:
-            yield from _sets_of(raws, span)
-
-
-def _identity(own: np.ndarray) -> tuple[int, int, int]:
-    """Size and two hashes of a set."""
-    one, two = own.sum(dtype=np.uint64), _mix(own).sum(dtype=np.uint64)
-    return len(own), int(one.view(np.int64)), int(two.view(np.int64))
-
-
-_SETS = "n long, set1 long, set2 long"
-
-
 def _sized(documents: DataFrame, key: str, text: str, s: Settings) -> tuple[DataFrame, np.ndarray]:
     """Rows (id, n, set1, set2) of all documents, and the count of all shingles by bucket."""
-    schema = f"id long, {_SETS}, slice int, counts binary"
+    schema = f"id long, {IDENTITY}, slice int, counts binary"
     arrow = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("set1", pa.int64()), ("set2", pa.int64()), ("slice", pa.int32()), ("counts", pa.binary())])
     each = s.buckets // _SLICES
 
@@ -182,7 +106,7 @@ def _sized(documents: DataFrame, key: str, text: str, s: Settings) -> tuple[Data
                 rows, met = [], []
                 for own in shingle_sets(batch.column(1).to_pylist(), s.shingle):
                     met.append((own % np.uint64(s.buckets)).astype(np.int64))
-                    rows.append(_identity(own))
+                    rows.append(identity(own))
                 n = len(rows)
                 counts += np.bincount(np.concatenate(met), minlength=s.buckets) if met else 0
                 columns = [batch.column(0).cast(pa.int64()), *(pa.array(c, pa.int64()) for c in zip(*rows))] if n else [pa.nulls(0, pa.int64())] * 4
@@ -238,7 +162,7 @@ def _left_out(n: int, r: int) -> np.ndarray:
 def _subsets(own: np.ndarray, pairs: list[tuple[int, int]], s: Settings) -> tuple[list, list, list]:
     """Keys of all subsets: sizes as one number, and two hashes, which are sums over the subset."""
     sizes, one, two = [], [], []
-    v1, v2 = _mix(own), _mix(own ^ np.uint64(0x5851F42D4C957F2D))
+    v1, v2 = mix(own), mix(own ^ np.uint64(0x5851F42D4C957F2D))
     for small, large in pairs:
         without = _left_out(len(own), len(own) - s.common(small, large))
         sizes += [small * 1000 + large] * len(without)
@@ -250,7 +174,7 @@ def _subsets(own: np.ndarray, pairs: list[tuple[int, int]], s: Settings) -> tupl
 def _classes(documents: DataFrame, text: str, s: Settings, counts: np.ndarray, light: int) -> DataFrame:
     """One row a class: its number, its sizes, its subset keys if light, its first shingles if it can
     have a heavy partner."""
-    schema = f"{_SETS}, sizes array<long>, key1 array<long>, key2 array<long>, front array<long>"
+    schema = f"{IDENTITY}, sizes array<long>, key1 array<long>, key2 array<long>, front array<long>"
     listed = pa.list_(pa.int64())
     arrow = pa.schema([("n", pa.int64()), ("set1", pa.int64()), ("set2", pa.int64()), *((c, listed) for c in ("sizes", "key1", "key2", "front"))])
     pairs = {n: s.size_pairs(n, light) for n in range(1, light + 1)}
@@ -272,7 +196,7 @@ def _classes(documents: DataFrame, text: str, s: Settings, counts: np.ndarray, l
                     if n >= least:
                         often = counts[(own % np.uint64(s.buckets)).astype(np.int64)]
                         front = own[np.lexsort((own, often))[: n - s.smallest(n) + 1]]
-                    rows.append((*_identity(own), *keys, front.view(np.int64)))
+                    rows.append((*identity(own), *keys, front.view(np.int64)))
                 columns = list(zip(*rows)) or [()] * 7
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
@@ -294,11 +218,7 @@ def _light_links(classes: DataFrame) -> DataFrame:
     # Both sides come from tables, so the adaptive plan can split a key that very many sets share.
     met = keyed.join(stage(hubs, "set-hubs"), ["sizes", "key1", "key2"])
     other = F.when(F.col("n") == small, F.col("high")).otherwise(F.col("low"))
-    return _ordered(met.select(F.col("class").alias("a"), other.alias("b")))
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return ordered(met.select(F.col("class").alias("a"), other.alias("b")))
 
 
 def _list_members(classes: DataFrame, s: Settings) -> DataFrame:
@@ -338,135 +258,6 @@ def _short_list_pairs(members: DataFrame, s: Settings) -> DataFrame:
     return met.filter(can & F.col("near")).select(F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b"), "shared")
 
 
-def _packed(documents: DataFrame, text: str, classes: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
-    """Compressed text of one document of each wanted class: class, packed."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["n", "set1", "set2", "packed"]
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                rows = []
-                texts = batch.column(0).to_pylist()
-                for x, own in zip(texts, shingle_sets(texts, s.shingle)):
-                    if len(own):
-                        rows.append((*_identity(own), _compressed(x)))
-                columns = list(zip(*rows)) or [()] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 3 + [pa.binary()])], names=names)
-
-    one = documents.select(text).mapInArrow(run, f"{_SETS}, packed binary").groupBy("n", "set1", "set2").agg(F.first("packed").alias("packed"))
-    some = classes.select("n", "set1", "set2", "class").join(wanted, "class", "left_semi")
-    return stage(one.join(some, ["n", "set1", "set2"]).select("class", "packed"), "set-texts")
-
-
-def _compressed(text: str) -> bytes:
-    data = text.encode("utf-8", "surrogatepass")
-    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
-
-
-def _set_of(packed: bytes, s: Settings) -> np.ndarray:
-    data = pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
-    return next(shingle_sets([data.decode("utf-8", "surrogatepass")], s.shingle))
-
-
-class _Sets:
-    """Sets of a task, the last few kept: joined rows come with one side in runs."""
-
-    def __init__(self, s: Settings, kept: int = 8):
-        self.s, self.kept, self.known = s, kept, OrderedDict()
-
-    def __call__(self, number: int, packed: bytes) -> np.ndarray:
-        if number not in self.known:
-            if len(self.known) >= self.kept:
-                self.known.popitem(last=False)
-            self.known[number] = _set_of(packed, self.s)
-        return self.known[number]
-
-
-def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    a = texts.select(F.col("class").alias("a"), F.col("packed").alias("pa"))
-    b = texts.select(F.col("class").alias("b"), F.col("packed").alias("pb"))
-    return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "pa", "pb")
-
-
-def _confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """The pairs whose full sets are linked."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = _Sets(s)
-        for batch in batches:
-            keep = []
-            for a, b, x, y in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                x, y = _set_of(x, s), sets(b, y)
-                keep.append(len(np.intersect1d(x, y, assume_unique=True)) >= s.common(len(x), len(y)))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(mask) for i in (0, 1)], names=["a", "b"])
-
-    return stage(_with_texts(pairs, texts).mapInArrow(run, "a long, b long"), "set-links")
-
-
-def _differences(around: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """Per member and hub: the fronts of what the two do not have in common.
-
-    With k = (100 - percent) / (100 + percent), x and y are linked if and only if
-    |Dx & Dy| >= (|Dx| + |Dy| - k(|x| + |y|)) / 2. As |Dy| >= | |B| - |y| |, this is at least
-    (|Dx| - k(|x| + |B|)) / 2 for any y: more than 0 if x is not linked with B (``far``). And for
-    any y it is more than (|Dy| + k(|B| - |y|)) / 2 if x is far. So a far x shares with y one of its
-    first |Dx| - (the first bound) + 1, which is at the same time one of the first
-    |Dy| - (the second bound) + 1 of y.
-    """
-    p, q = 100 - s.percent, 100 + s.percent
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = _Sets(s)
-        names = ["class", "hub", "n", "front", "far", "own"]
-        for batch in batches:
-            n, front, far, own = [], [], [], []
-            for b, x, y in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                x, base = _set_of(x, s), sets(b, y)
-                new, lost = np.setdiff1d(x, base, assume_unique=True), np.setdiff1d(base, x, assume_unique=True)
-                both, size = np.concatenate([new, lost]).view(np.int64), len(new) + len(lost)
-                over = q * size - p * (len(x) + len(base))
-                # In units of 1 / 2q: whole numbers, so no bound is rounded the wrong way.
-                first = -(-over // (2 * q)) if over > 0 else 0
-                second = (q * size + p * (len(base) - len(x))) // (2 * q) + 1
-                n.append(len(x))
-                far.append(size - first + 1 if over > 0 else 0)
-                own.append(max(size - second + 1, 0))
-                front.append(both[: max(far[-1], own[-1])])
-            columns = [pa.array(n, pa.int64()), pa.array(front, pa.list_(pa.int64())), pa.array(far, pa.int32()), pa.array(own, pa.int32())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=names)
-
-    pairs = around.select(F.col("class").alias("a"), F.col("hub").alias("b")).distinct()
-    made = _with_texts(pairs, texts).mapInArrow(run, "class long, hub long, n long, front array<long>, far int, own int")
-    return stage(made.join(around.select("class", "component").distinct(), "class"), "set-differences")
-
-
-def _across(around: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """Pairs in different components around one hub that can still be linked."""
-    apart = _differences(around, texts, s)
-    own = apart.select("hub", "class", "n", "component", (F.col("far") > 0).alias("is_far"), F.explode(F.slice("front", F.lit(1), "own")).alias("shingle"))
-    far = apart.filter("far > 0").select("hub", "class", "n", "component", F.explode(F.slice("front", F.lit(1), "far")).alias("shingle"))
-    reached = own.groupBy("hub", "shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    probes = far.join(stage(reached, "set-reached"), ["hub", "shingle"]).filter("component != low OR component != high")
-    x = stage(probes, "set-probes").select("hub", "shingle", F.col("class").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-    met = x.join(own, ["hub", "shingle"]).filter("cx != component AND (NOT is_far OR x < class)")
-    near = 100 * F.least("n", "nx") >= s.percent * F.greatest("n", "nx")
-    return _ordered(met.filter(near).select(F.col("x").alias("a"), F.col("class").alias("b")))
-
-
-def _with_partners_by_size(left: DataFrame, s: Settings) -> DataFrame:
-    """The members around a hub that have one of another component within the sizes of a link.
-
-    Linked sizes fall into the same class of sizes or two that touch; a class spans a little more than
-    the ratio of the threshold.
-    """
-    size = F.floor(F.log(F.col("n")) / (F.log(F.lit(100 / s.percent)) * 1.0001 + 1e-9)).cast("int")
-    sized = left.withColumn("size", size)
-    near = sized.select("hub", "component", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)).alias("size"))
-    met = near.groupBy("hub", "size").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    return stage(sized.join(stage(met.select("hub", "size"), "set-sizes-met"), ["hub", "size"], "left_semi").select("class", "hub", "component"), "set-left")
-
-
 def linked(documents: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings | None = None, light: int | None = None) -> DataFrame:
     """Per row: its key (``id``), n_shingles, component_id (the smallest key it reaches).
 
@@ -495,44 +286,9 @@ def linked(documents: DataFrame, key: str = "doc_id", text: str = "text", settin
     )
     stars = stage(pairs.unionByName(with_hub).groupBy("a", "b").agg(F.max("shared").alias("shared")), "set-stars")
     ends_of = stars.select(F.explode(F.array("a", "b")).alias("class")).unionByName(long.select("class"))
-    texts = _packed(documents, text, classes, ends_of.distinct(), s)
-
-    # The most promising partner of each first: it settles most components.
-    ends = F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y"))))
-    best = stars.select(ends.alias("e"), "shared").groupBy("e.x").agg(F.max_by("e.y", F.struct("shared", -F.col("e.y"))).alias("y"))
-    best = stage(_ordered(best.select(F.col("x").alias("a"), F.col("y").alias("b"))), "set-best")
-    links = links.unionByName(_confirmed(best, texts, s))
-    found = components(links)
-
-    def apart(pairs: DataFrame) -> DataFrame:
-        a = found.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-        b = found.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-        joined = pairs.select("a", "b").join(a, "a", "left").join(b, "b", "left")
-        return joined.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-
-    rest = stage(apart(stars.join(best, ["a", "b"], "left_anti")), "set-rest")
-    if not rest.isEmpty():
-        links = links.unionByName(_confirmed(rest, texts, s))
-        found = components(links)
-
-    own = F.coalesce("component", "class").alias("component")
-    placed = around.select("shingle", "class", "n", "hub").join(found.withColumnRenamed("id", "class"), "class", "left")
-    placed = placed.select("shingle", "class", "n", "hub", own)
-    mixed = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("shingle")
-    left = placed.join(stage(mixed, "set-mixed"), "shingle").select("class", "n", "hub", "component").distinct()
-    left = _with_partners_by_size(stage(left, "set-left"), s)
-    if not left.isEmpty():
-        across = stage(_across(left, texts, s), "set-across")
-        if not across.isEmpty():
-            links = links.unionByName(_confirmed(across, texts, s))
-            found = components(links)
-
-    # A component's name is the smallest key of its rows.
-    least = rows.filter("n > 0").groupBy("n", "set1", "set2").agg(F.min("id").alias("low"))
-    named = classes.select("n", "set1", "set2", "class").join(least, ["n", "set1", "set2"])
-    named = named.join(found.withColumnRenamed("id", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    named = stage(named, "set-named")
-    names = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    settled = stage(named.join(names, "component").select("n", "set1", "set2", "component_id"), "set-settled")
-    full = rows.filter("n > 0").join(settled, ["n", "set1", "set2"]).select("id", F.col("n").alias("n_shingles"), "component_id")
-    return full.unionByName(rows.filter("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id")))
+    texts = class_texts(documents, text, classes, ends_of.distinct(), s.shingle)
+    links, found = confirmed_components(links, stars, texts, s.shingle, s.percent)
+    around = around.select(F.col("shingle").alias("list"), "class", "n", "hub")
+    _, found = confirm_across(links, found, around, texts, s.shingle, s.percent)
+    named = named_components(rows, classes, found)
+    return named.select("id", F.col("n").alias("n_shingles"), "component_id")

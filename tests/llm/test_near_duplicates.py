@@ -82,6 +82,32 @@ def test_long_chain_of_links(spark):
     assert found == {**{i: 0 for i in range(n + 1)}, 900: 900, 901: 900}
 
 
+def test_null_and_shared_keys_lose_no_text(documents):
+    texts = ["x y z u v w", "p q r s t u v w", "x y z u v w", "p q r s t u v w", "m n o p q r s", None, "", "m n o p q r s"]
+    keys = [5, 5, 7, None, None, None, 5, None]
+    df = documents(list(zip(keys, texts)))
+    found = sorted(((r.id, r.n_shingles, r.component_id) for r in nd.near_duplicates(df, settings=THREE).collect()), key=repr)
+    assert found == sorted([(5, 4, 5), (7, 4, 5), (5, 6, 5), (None, 6, 5), (None, 5, None), (None, 5, None), (None, 0, None), (5, 0, 5)], key=repr)
+    kept = sorted(((r.doc_id, r.text) for r in nd.one_of_each(df).collect()), key=repr)
+    assert kept == sorted([(5, "x y z u v w"), (5, "p q r s t u v w"), (None, "m n o p q r s"), (None, None), (5, "")], key=repr)
+
+
+def test_texts_are_written_once(documents, monkeypatch):
+    from stellate.llm import sets
+
+    labels = []
+    stage = sets.stage
+    monkeypatch.setattr(sets, "stage", lambda df, label="table": (labels.append(label), stage(df, label))[1])
+    nd.near_duplicates(documents(cases(3, 0.08)), settings=THREE).count()
+    assert labels.count("set-texts") == 1 and labels.count("set-links") >= 1
+
+
+def test_clashing_columns(documents):
+    df = documents(cases(4, 0.03)[:40]).selectExpr("*", "1 AS id", "2 AS text_hash", "3 AS class", "4 AS _kept", "5 AS component")
+    kept = nd.one_of_each(df)
+    assert kept.columns == df.columns and 0 < kept.count() < 40
+
+
 def test_awkward_and_empty(awkward):
     kept = nd.one_of_each(awkward)
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [
