@@ -191,7 +191,11 @@ def _grouped(documents: DataFrame, key: str, text: str, s: Settings) -> DataFram
     links, found = confirmed_components(None, survivors, texts, s.shingle, s.percent)
     # What a leader did not connect: buckets that still hold several components.
     around = members.filter("class != leader").select(F.struct("band", "value").alias("list"), "class", "n", F.col("leader").alias("hub"))
-    _, found = confirm_across(links, found, around, texts, s.shingle, s.percent)
+
+    def sift(pairs: DataFrame) -> DataFrame:
+        return stage(_compared(pairs.join(survivors, ["a", "b"], "left_anti"), short, s).select("a", "b"), "near-across")
+
+    _, found = confirm_across(links, found, around, texts, s.shingle, s.percent, sift)
     return named_components(signed.drop("bands", "signature"), classes, found)
 
 

@@ -159,7 +159,10 @@ class Condition:
 
 @dataclass(frozen=True)
 class DecisionList:
+    """Rules in order; ``uncovered`` labelled rejects meet none of them."""
+
     rules: tuple[tuple[Condition, ...], ...] = ()
+    uncovered: int = 0
 
     def rule(self, s: Column) -> Column:
         """Number of the first rule that holds, from 1; 0 if none does."""
@@ -178,15 +181,15 @@ class DecisionList:
 class Learner:
     """Parameters of sequential covering.
 
-    precision: least share of rejects among the pruning rows that a rule covers.
+    Rules are added as long as one is found that is precise and covers enough; a rule that is not
+    precise is not the end, the next best first condition is tried. Conditions are added as long as
+    they gain information. precision: least share of rejects among the pruning rows that a rule covers.
     support: least number of rejects that a rule covers among the growing rows.
     quantiles: cut points per feature, taken within each class.
     """
 
     precision: float = 0.95
     support: int = 10
-    max_rules: int = 8
-    max_conditions: int = 4
     quantiles: tuple[float, ...] = field(
         default=(0.001, 0.01, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.99, 0.999)
     )
@@ -215,15 +218,17 @@ class Learner:
             "quality-cells",
         )
         rules: list[tuple[tuple[str, bool, int], ...]] = []
-        while len(rules) < self.max_rules:
-            rest = cells
-            for r in rules:
-                rest = rest.filter(~self._holds(r))
-            rule = self._prune(rest, self._grow(rest))
-            if not rule:
-                break
-            rules.append(rule)
-        return DecisionList(tuple(self._conditions(r, cuts) for r in rules))
+        rest, failed = cells, set()
+        while grown := self._grow(rest, failed):
+            rule = self._prune(rest, grown)
+            if rule:
+                rules.append(rule)
+                # Every rule covers rejects that no earlier one did, so this ends.
+                rest, failed = stage(rest.filter(~self._holds(rule)), "quality-cells"), set()
+            else:
+                failed.add(grown[0])
+        left = rest.filter("reject").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        return DecisionList(tuple(self._conditions(r, cuts) for r in rules), left)
 
     @staticmethod
     def _conditions(rule, cuts) -> tuple[Condition, ...]:
@@ -247,10 +252,11 @@ class Learner:
         tests = [(F.col(f) >= b) if up else (F.col(f) < b) for f, up, b in rule]
         return reduce(lambda a, b: a & b, tests)
 
-    def _grow(self, cells: DataFrame):
+    def _grow(self, cells: DataFrame, failed):
+        """Conditions of the most gain, one after the other; the first is none of ``failed``."""
         rule: list[tuple[str, bool, int]] = []
         rows = cells.filter("NOT prune")
-        for _ in range(self.max_conditions):
+        while True:
             covered = rows.filter(self._holds(rule)) if rule else rows
             hist = (
                 covered.select(
@@ -264,7 +270,7 @@ class Learner:
                 .agg(F.sum("n").alias("n"))
                 .collect()
             )
-            best = self._best(hist, rule)
+            best = self._best(hist, failed if not rule else ())
             if best is None:
                 break
             condition, bad = best
@@ -273,7 +279,7 @@ class Learner:
                 break
         return tuple(rule)
 
-    def _best(self, hist, rule):
+    def _best(self, hist, failed):
         """The condition of the highest information gain, as (condition, clean rows it covers)."""
         from math import log2
 
@@ -292,7 +298,7 @@ class Learner:
                 if below != [0, 0]:
                     over = [clean - below[0], rejects - below[1]]
                     for up, (bad, good) in ((True, over), (False, below)):
-                        if good >= self.support and bad + good < clean + rejects:
+                        if good >= self.support and bad + good < clean + rejects and (f, up, b) not in failed:
                             gain = good * (log2(good / (good + bad)) - before)
                             if gain > 1e-9 and (best is None or gain > best[0] + 1e-9):
                                 best = (gain, (f, up, b), bad)
@@ -301,8 +307,6 @@ class Learner:
 
     def _prune(self, cells: DataFrame, rule):
         """The prefix of the rule that does best on the pruning rows, if it is precise enough."""
-        if not rule:
-            return ()
         prefixes = [rule[: i + 1] for i in range(len(rule))]
         row = (
             cells.filter("prune")

@@ -10,13 +10,15 @@ With k = (100 - percent) / (100 + percent), x and y are linked if and only if
 is more than (|Dy| + k(|B| - |y|)) / 2 if x is far. So a far x shares with y one of its first
 |Dx| - (the first bound) + 1, which is at the same time one of the first |Dy| - (the second bound) + 1
 of y, in one order for all members of the hub: what B lacks first. Of two members in different
-components one is far, so the lists of these fronts hold every pair that can still be linked.
+components one is far, so the lists of these fronts hold every pair that can still be linked. Behind
+the front that ends first, the two have at most what is left of that one in common, so a pair that
+shares too little in the fronts goes before any text is read.
 """
 
 from __future__ import annotations
 
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -192,9 +194,9 @@ def _differences(around: DataFrame, texts: DataFrame, span: int, percent: int) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _Sets(span)
-        names = ["class", "hub", "n", "front", "far", "own"]
+        names = ["class", "hub", "n", "size", "front", "far", "own"]
         for batch in batches:
-            n, front, far, own = [], [], [], []
+            n, sizes, front, far, own = [], [], [], [], []
             for b, x, y in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 x, base = _set_of(x, span), sets(b, y)
                 new, lost = np.setdiff1d(x, base, assume_unique=True), np.setdiff1d(base, x, assume_unique=True)
@@ -204,28 +206,35 @@ def _differences(around: DataFrame, texts: DataFrame, span: int, percent: int) -
                 first = -(-over // (2 * q)) if over > 0 else 0
                 second = (q * size + p * (len(base) - len(x))) // (2 * q) + 1
                 n.append(len(x))
+                sizes.append(size)
                 far.append(size - first + 1 if over > 0 else 0)
                 own.append(max(size - second + 1, 0))
                 front.append(both[: max(far[-1], own[-1])])
-            columns = [pa.array(n, pa.int64()), pa.array(front, pa.list_(pa.int64())), pa.array(far, pa.int32()), pa.array(own, pa.int32())]
+            columns = [pa.array(n, pa.int64()), pa.array(sizes, pa.int64()), pa.array(front, pa.list_(pa.int64())), pa.array(far, pa.int32()), pa.array(own, pa.int32())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=names)
 
     pairs = around.select(F.col("class").alias("a"), F.col("hub").alias("b")).distinct()
-    made = _with_texts(pairs, texts).mapInArrow(run, "class long, hub long, n long, front array<long>, far int, own int")
+    made = _with_texts(pairs, texts).mapInArrow(run, "class long, hub long, n long, size long, front array<long>, far int, own int")
     return stage(made.join(around.select("class", "component").distinct(), "class"), "set-differences")
 
 
 def across(around: DataFrame, texts: DataFrame, span: int, percent: int) -> DataFrame:
     """Pairs (a, b) in different components around one hub that can still be linked."""
     apart = _differences(around, texts, span, percent)
-    own = apart.select("hub", "class", "n", "component", (F.col("far") > 0).alias("is_far"), F.explode(F.slice("front", F.lit(1), "own")).alias("shingle"))
-    far = apart.filter("far > 0").select("hub", "class", "n", "component", F.explode(F.slice("front", F.lit(1), "far")).alias("shingle"))
+    left = F.struct("n", "size", (F.col("size") - F.col("far")).alias("behind_far"), (F.col("size") - F.col("own")).alias("behind_own"))
+    apart = apart.withColumn("of", left)
+    own = apart.select("hub", "class", "component", "of", (F.col("far") > 0).alias("is_far"), F.explode(F.slice("front", F.lit(1), "own")).alias("shingle"))
+    far = apart.filter("far > 0").select("hub", "class", "component", "of", F.explode(F.slice("front", F.lit(1), "far")).alias("shingle"))
     reached = own.groupBy("hub", "shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     probes = far.join(stage(reached, "set-reached"), ["hub", "shingle"]).filter("component != low OR component != high")
-    x = stage(probes, "set-probes").select("hub", "shingle", F.col("class").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
+    x = stage(probes, "set-probes").select("hub", "shingle", F.col("class").alias("x"), F.col("of").alias("ofx"), F.col("component").alias("cx"))
     met = x.join(own, ["hub", "shingle"]).filter("cx != component AND (NOT is_far OR x < class)")
-    near = 100 * F.least("n", "nx") >= percent * F.greatest("n", "nx")
-    return ordered(met.filter(near).select(F.col("x").alias("a"), F.col("class").alias("b")))
+    met = met.filter(100 * F.least("of.n", "ofx.n") >= percent * F.greatest("of.n", "ofx.n"))
+    pairs = met.groupBy("hub", "x", "class", "ofx", "of").agg(F.count(F.lit(1)).alias("shared"))
+    p, q = 100 - percent, 100 + percent
+    most = F.col("shared") + F.greatest("ofx.behind_far", "of.behind_own")
+    can = 2 * q * most >= q * (F.col("ofx.size") + F.col("of.size")) - p * (F.col("ofx.n") + F.col("of.n"))
+    return ordered(pairs.filter(can).select(F.col("x").alias("a"), F.col("class").alias("b")))
 
 
 def with_partners_by_size(left: DataFrame, percent: int) -> DataFrame:
@@ -276,9 +285,18 @@ def confirm_more(links: DataFrame, found: DataFrame, pairs: DataFrame, texts: Da
 
 
 def confirm_across(
-    links: DataFrame, found: DataFrame, around: DataFrame, texts: DataFrame, span: int, percent: int
+    links: DataFrame,
+    found: DataFrame,
+    around: DataFrame,
+    texts: DataFrame,
+    span: int,
+    percent: int,
+    sift: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
 ) -> tuple[DataFrame, DataFrame]:
-    """Links and components after what hubs left apart; ``around`` has list, class, n and hub."""
+    """Links and components after what hubs left apart; ``around`` has list, class, n and hub.
+
+    ``sift`` may drop pairs before they are confirmed.
+    """
     own = F.coalesce("component", "class").alias("component")
     placed = around.join(found.withColumnRenamed("id", "class"), "class", "left").select("list", "class", "n", "hub", own)
     mixed = placed.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("list")
@@ -286,7 +304,8 @@ def confirm_across(
     left = with_partners_by_size(stage(left, "set-left"), percent)
     if left.isEmpty():
         return links, found
-    return confirm_more(links, found, stage(across(left, texts, span, percent), "set-across"), texts, span, percent)
+    pairs = sift(stage(across(left, texts, span, percent), "set-across"))
+    return confirm_more(links, found, pairs, texts, span, percent)
 
 
 def named_components(rows: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:

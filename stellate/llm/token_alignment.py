@@ -38,6 +38,10 @@ from stellate.sources.staging import stage
 
 #: A block of documents is closed when its texts have so many bytes.
 BLOCK_BYTES = 4 << 20
+#: Texts of so many bytes are aligned at a time; longer ones alone.
+ALIGNED_BYTES = 1 << 18
+#: Words whose pieces a worker keeps, and the characters of the longest one kept.
+KEPT_WORDS, KEPT_CHARS = 200_000, 40
 #: Pieces of the second tokenizer; an id pair is one number, ``a * PIECES + b``.
 PIECES = 1 << 24
 
@@ -51,6 +55,10 @@ class Tokenizers:
     pieces: str
 
 
+def _one_space(text: str) -> bool:
+    return "  " not in text and "▁" not in text and " " not in (text[0], text[-1])
+
+
 def _byte_of_symbol() -> dict[str, int]:
     """Byte-level vocabularies write printable Latin-1 bytes as themselves, the others from U+0100 on."""
     shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
@@ -83,14 +91,35 @@ class Encoders:
             for i, p in ((i, self.right.id_to_piece(i)) for i in range(self.right.get_piece_size()))
         ]
         self.right_sizes = np.array([len(b) for b in self.right_bytes], np.int64)
+        pieces = (self.right.id_to_piece(i) for i in range(self.right.get_piece_size()))
+        self.by_words = not any("▁" in p.lstrip("▁") for p in pieces)
+        self.known: dict[str, list[int]] = {}
         size = max(len(self.left_sizes), len(self.right_sizes))
         #: Every id as text before a comma, a bar and a semicolon.
         self.said = [f"{i}{mark}" for i in range(size) for mark in ",|;"]
 
+    def _pieces(self, texts: list[str]) -> Iterator[list[int]]:
+        """Ids of the second side. No piece goes on behind a space, so the words of a text that has one
+        space between any two are encoded one by one, each different word once."""
+        words = [t.split(" ") if self.by_words and t and _one_space(t) else None for t in texts]
+        if len(self.known) > KEPT_WORDS:
+            self.known = {}
+        fresh = list(set(chain.from_iterable(w for w in words if w)).difference(self.known))
+        own = dict(zip(fresh, self.right.encode(fresh, num_threads=1)))
+        self.known.update(own)
+        for text, split in zip(texts, words):
+            if split is None:
+                yield self.right.encode(text)
+            else:
+                yield list(chain.from_iterable(map(self.known.__getitem__, split)))
+        for word in own:
+            if len(word) > KEPT_CHARS:
+                del self.known[word]
+
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of both sides for every text; two empty lists where a side does not spell the text."""
         out = []
-        for text, b in zip(texts, self.right.encode(texts, num_threads=1)):
+        for text, b in zip(texts, self._pieces(texts)):
             raw = (" " + text).encode()
             a = self.left.encode_ordinary(" " + text)
             spelt = text and b"".join(map(self.right_bytes.__getitem__, b)) == raw and self.left.decode_bytes(a) == raw
@@ -145,19 +174,20 @@ def align_block(texts: list[str], encoders: Encoders) -> Aligned:
     # All documents on one line: a document ends with a common offset, so no group leaves it.
     ends_a, ends_b = np.cumsum(encoders.left_sizes[a]), np.cumsum(encoders.right_sizes[b])
     group_a, group_b = terminals(ends_a, ends_b)
-    ends = np.union1d(ends_a, ends_b)
+    ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+    ends = ends[np.append(ends[1:] != ends[:-1], True)]
     at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
 
     first_a = np.concatenate([[0], np.cumsum(n_a)])
     document = np.repeat(np.arange(len(texts)), n_a)
     n_links = np.bincount(document[at_a], minlength=len(texts))
-    n_groups = np.bincount(document[np.unique(group_a)], minlength=len(texts))
+    n_groups = np.bincount(document[np.append(group_a[1:] != group_a[:-1], True)], minlength=len(texts))
 
-    sides = np.concatenate([2 * group_a, 2 * group_b + 1])
-    order = np.argsort(sides, kind="stable")
-    sides = sides[order]
-    last = np.append(sides[1:] != sides[:-1], True)
-    words = 3 * np.concatenate([a, b])[order] + last * (1 + sides % 2)
+    # Groups rise along both sides: a token stands behind its own side and the other side's earlier groups.
+    words = np.empty(len(a) + len(b), np.int64)
+    last_a, last_b = (np.append(g[1:] != g[:-1], True) for g in (group_a, group_b))
+    words[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = 3 * a + last_a
+    words[np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")] = 3 * b + 2 * last_b
     bounds = first_a + np.concatenate([[0], np.cumsum(n_b)])
     said = [
         "".join(map(encoders.said.__getitem__, words[x:y].tolist()))[:-1] for x, y in zip(bounds.tolist(), bounds[1:].tolist())
@@ -197,7 +227,7 @@ def groups(documents: DataFrame, key: str, text: str, names: Tokenizers) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoders = _encoders(names)
-        for keys, texts in _blocks_of(batches, BLOCK_BYTES):
+        for keys, texts in _blocks_of(batches, ALIGNED_BYTES):
             x = align_block(texts, encoders)
             columns = [pa.array([k.as_py() for k in keys], keys[0].type), *map(pa.array, (x.n_a, x.n_b, x.n_groups, x.n_links, x.said))]
             yield pa.RecordBatch.from_arrays(columns, names=[key, "n_a", "n_b", "n_groups", "n_links", "groups"])
@@ -215,24 +245,37 @@ def _blocks(documents: DataFrame, key: str, text: str, names: Tokenizers, size:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoders = _encoders(names)
-        for keys, texts in _blocks_of(batches, size):
-            x = align_block(texts, encoders)
-            pairs, place, times = np.unique(x.links, return_inverse=True, return_counts=True)
-            cuts = np.cumsum(x.n_links)[:-1]
-            steps = [_steps(np.sort(own)) for own in np.split(place, cuts)]
-            digests = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in x.said]
+        keys, parts, digests, held = [], [], [], 0
+
+        def row() -> pa.RecordBatch:
+            n_links = np.concatenate([x.n_links for x in parts])
+            pairs, place, times = np.unique(np.concatenate([x.links for x in parts]), return_inverse=True, return_counts=True)
+            steps = [_steps(np.sort(own)) for own in np.split(place, np.cumsum(n_links)[:-1])]
             fields = {
                 "key": pa.array([k.as_py() for k in keys], keys[0].type),
-                "n_a": pa.array(x.n_a), "n_b": pa.array(x.n_b), "n_groups": pa.array(x.n_groups),
-                "n_links": pa.array(x.n_links), "groups_sha256": pa.array(digests, pa.string()),
+                **{c: pa.array(np.concatenate([getattr(x, c) for x in parts])) for c in ("n_a", "n_b", "n_groups")},
+                "n_links": pa.array(n_links), "groups_sha256": pa.array(digests, pa.string()),
             }
             own = pa.StructArray.from_arrays(list(fields.values()), names=list(fields))
-            row = [
+            columns = [
                 pa.array([uuid.uuid4().hex]),
                 pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), own),
                 *(pa.array([v], pa.binary()) for v in (b"".join(steps), pairs.tobytes(), times.astype(np.int64).tobytes())),
             ]
-            yield pa.RecordBatch.from_arrays(row, names=["block", "documents", "links", "pairs", "times"])
+            return pa.RecordBatch.from_arrays(columns, names=["block", "documents", "links", "pairs", "times"])
+
+        for some, texts in _blocks_of(batches, min(size, ALIGNED_BYTES)):
+            x = align_block(texts, encoders)
+            digests += [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in x.said]
+            x.said = []
+            keys += some
+            parts.append(x)
+            held += sum(map(len, texts)) + 64 * len(texts)
+            if held >= size:
+                yield row()
+                keys, parts, digests, held = [], [], [], 0
+        if keys:
+            yield row()
 
     return stage(documents.select(key, text).mapInArrow(run, schema), "alignment-blocks")
 

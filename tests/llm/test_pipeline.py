@@ -45,6 +45,13 @@ def test_repeated_lines(spark, sf_dir, documents):
     assert out == {1: (docs.first().text, docs.first().n_chars), 3: ("short", 5), 4: (None, None), 5: ("", 0)}
 
 
+def test_stages_keep_clashing_columns(spark, sf_dir, documents):
+    line = "a line that is long enough to be compared"
+    docs = documents([(1, line), (2, f"{line}\nanother")]).selectExpr("*", "1 AS _n_lines", "2 AS _n_dropped", "3 AS _key")
+    out = pipeline.drop_repeated_lines(spark, docs, sf_dir)
+    assert out.columns == docs.columns and {r._n_lines for r in out.collect()} == {1}
+
+
 def test_short_repeated_lines(spark, sf_dir, documents):
     docs = documents([(1, "Les.\nfirst"), (2, "Les.\nLe."), (3, "Les.")])
     out = {r.doc_id: (r.text, r.n_chars) for r in pipeline.drop_repeated_lines(spark, docs, sf_dir).collect()}

@@ -102,6 +102,15 @@ def test_groups_are_the_hashed_text(documents):
     assert (said[2].groups, hashed[2].groups_sha256, hashed[2].n_links) == ("", "", 0)
 
 
+def test_words_one_by_one_are_the_pieces_of_the_text():
+    random.seed(1)
+    letters = ["a", "The", "é", " ", "  ", "\n", "\t", "▁", "\xa0", "\u3000", "日", "ﬁ", "12", "!!", "<s>", "<0x0A>", "\x00", "ing", " of the"]
+    texts = ["".join(random.choice(letters) for _ in range(random.randint(1, 20))) for _ in range(5000)] + ["", " "]
+    encoders = t.Encoders(NAMES)
+    assert encoders.by_words and sum(map(t._one_space, filter(None, texts))) > 500
+    assert list(encoders._pieces(texts)) == [encoders.right.encode(x) for x in texts]
+
+
 def test_long_chains_of_overlaps_end_at_one_terminal():
     import numpy as np
 
