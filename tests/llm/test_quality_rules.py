@@ -43,7 +43,7 @@ def test_covering_goes_on_after_a_rule_that_fails(spark):
         kind = i % 10
         reject = kind in (0, 1) or (kind in (2, 3, 4) and i % 3 > 0)
         # Share of capitals says little, of symbols and of marks all.
-        s = (100, 500, 200 * (kind == 0), 0, 0, 5, 150 * (kind in (0, 1, 2, 3, 4)), 180 * (kind == 1))
+        s = (100 + i % 89, 500 + i % 97, 200 * (kind == 0), 0, 0, 5, 150 * (kind in (0, 1, 2, 3, 4)), 180 * (kind == 1))
         return i, int(not reject), s
 
     names = "n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines n_capitals n_marks".split()
@@ -51,9 +51,11 @@ def test_covering_goes_on_after_a_rule_that_fails(spark):
     df = spark.createDataFrame([row(i) for i in range(3000)], f"doc_id long, quality int, statistics {kind}")
     rules = q.learn(df.select("doc_id", "statistics"), df.select("doc_id", "quality"))
     s = F.col("statistics")
-    covered = df.filter(rules.rule(s) > 0).groupBy("quality").count().collect()
-    assert [(r.quality, r["count"]) for r in covered] == [(0, 600)]
-    assert rules.uncovered == df.filter("quality = 0").count() - 600
+    covered = df.filter(rules.rule(s) > 0)
+    # Cut points are quantiles, so a part of each kind can stay below the lowest one.
+    assert covered.filter("quality = 1").count() == 0 and covered.count() >= 450
+    assert {r.k for r in covered.selectExpr("doc_id % 10 AS k").distinct().collect()} == {0, 1}
+    assert rules.uncovered == df.filter("quality = 0").count() - covered.count()
 
 
 def test_without_labels_or_documents(spark, awkward):
