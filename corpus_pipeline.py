@@ -41,15 +41,20 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     keyed = docs.withColumn(key, content_key("doc_id", "text"))
     found = line_dedup.dropped_lines(keyed, key, min_chars=1, min_edit_chars=line_dedup.EDIT_CHARS)
     dropped = stage(found, "lines-dropped")
-    left = line_dedup.without_lines(keyed, dropped, key, into=("_n_lines", "_n_dropped"))
-    changed = F.col("_n_dropped") > 0
+    n_lines, n_dropped = free_name(docs, "_n_lines"), free_name(docs, "_n_dropped")
+    left = line_dedup.without_lines(keyed, dropped, key, into=(n_lines, n_dropped))
+    changed = F.col(n_dropped) > 0
     blank = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     n_chars = F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.filter(~(changed & blank)).withColumn("n_chars", n_chars).select(*columns)
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of every group that shares 0.8 of its five-word shingles."""
+    """The first document of every group that shares 0.8 of its five-word shingles.
+
+    Rows that share a key and hold different texts are different documents; a row without key stays
+    unless its group has one with a key.
+    """
     return near_duplicates.one_of_each(docs)
 
 
