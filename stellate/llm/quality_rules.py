@@ -182,14 +182,16 @@ class Learner:
     """Parameters of sequential covering.
 
     Rules are added as long as one is found that is precise and covers enough; a rule that is not
-    precise is not the end, the next best first condition is tried. Conditions are added as long as
+    precise is not the end, the next best feature or direction comes first then. Conditions are added as long as
     they gain information. precision: least share of rejects among the pruning rows that a rule covers.
     support: least number of rejects that a rule covers among the growing rows.
+    gain: least information, in bits over the covered rejects, that a further condition must bring.
     quantiles: cut points per feature, taken within each class.
     """
 
     precision: float = 0.95
     support: int = 10
+    gain: float = 2.0
     quantiles: tuple[float, ...] = field(
         default=(0.001, 0.01, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.99, 0.999)
     )
@@ -226,7 +228,7 @@ class Learner:
                 # Every rule covers rejects that no earlier one did, so this ends.
                 rest, failed = stage(rest.filter(~self._holds(rule)), "quality-cells"), set()
             else:
-                failed.add(grown[0])
+                failed.add(grown[0][:2])
         left = rest.filter("reject").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         return DecisionList(tuple(self._conditions(r, cuts) for r in rules), left)
 
@@ -253,7 +255,8 @@ class Learner:
         return reduce(lambda a, b: a & b, tests)
 
     def _grow(self, cells: DataFrame, failed):
-        """Conditions of the most gain, one after the other; the first is none of ``failed``."""
+        """Conditions of the most gain, one after the other; the first has a feature and direction that
+        is not among ``failed``."""
         rule: list[tuple[str, bool, int]] = []
         rows = cells.filter("NOT prune")
         while True:
@@ -276,7 +279,7 @@ class Learner:
             condition, bad = best
             rule.append(condition)
             if bad == 0:
-                break
+                break  # no condition can add to it
         return tuple(rule)
 
     def _best(self, hist, failed):
@@ -298,9 +301,9 @@ class Learner:
                 if below != [0, 0]:
                     over = [clean - below[0], rejects - below[1]]
                     for up, (bad, good) in ((True, over), (False, below)):
-                        if good >= self.support and bad + good < clean + rejects and (f, up, b) not in failed:
+                        if good >= self.support and bad + good < clean + rejects and (f, up) not in failed:
                             gain = good * (log2(good / (good + bad)) - before)
-                            if gain > 1e-9 and (best is None or gain > best[0] + 1e-9):
+                            if gain > self.gain and (best is None or gain > best[0] + 1e-9):
                                 best = (gain, (f, up, b), bad)
                 below = [below[k] + counts[f][b][k] for k in (0, 1)]
         return best and (best[1], best[2])
