@@ -1,4 +1,5 @@
 import itertools
+import random
 import zlib
 
 import numpy as np
@@ -114,3 +115,19 @@ def test_files_hold_ordered_ranges_inside_a_shard(spark, sf_dir, tmp_path, monke
             found.append(pq.ParquetFile(file).read(["slot"]).column(0).to_pylist())
     assert n > 200 and sum(found, []) == list(range(n))
     assert all(f[0] % 100 % 34 == 0 and len(f) <= 34 for f in found)
+
+
+def test_stream_and_shards_are_written_packed(spark, documents, tmp_path):
+    """Together with the shuffle they have to stay below three times the input."""
+    rng = random.Random(3)
+    words = [rng.choice("abcdefgh") * rng.randrange(1, 5) + str(i) for i in range(300)]
+    docs = documents([(i, " ".join(rng.choice(words) for _ in range(800))) for i in range(40)])
+    stream = to.token_stream(docs, "text", WORDS)
+    to.write_shards(to.training_order(docs, "text", WORDS, key=5), f"{tmp_path}/shards")
+    ids = 2 * stream.agg(F.sum("n")).first()[0]
+    for files in (stream.inputFiles(), to.shard_rows(spark, f"{tmp_path}/shards").inputFiles()):
+        footers = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in files]
+        groups = [m.row_group(i) for m in footers for i in range(m.num_row_groups)]
+        packed = [g.column(i) for g in groups for i in range(g.num_columns) if g.column(i).path_in_schema == "ids"]
+        assert packed and {c.compression for c in packed} == {"ZSTD"}
+        assert sum(c.total_compressed_size for c in packed) < 0.75 * ids
