@@ -13,6 +13,12 @@ of y, in one order for all members of the hub: what B lacks first. Of two member
 components one is far, so the lists of these fronts hold every pair that can still be linked. Behind
 the front that ends first, the two have at most what is left of that one in common, so a pair that
 shares too little in the fronts goes before any text is read.
+
+Members that have no more in common with the hub than a passage all lack the rest of it, so lists of what
+they lack would hold them all. If x has more that B lacks than linked sets can differ by, (100 - percent)
+hundredths of |x| (``strange``), y has some of that. What comes before the first shared one is not in the
+other, so that one is among the first (100 - percent) |x| / 100 + 1 of x, and likewise of y: x then meets
+partners by what B lacks only, and the lists of all differences hold the other members.
 """
 
 from __future__ import annotations
@@ -23,7 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stellate.llm.components import components
@@ -189,51 +195,75 @@ def confirmed(pairs: DataFrame, texts: DataFrame, span: int, percent: int) -> Da
 
 
 def _differences(around: DataFrame, texts: DataFrame, span: int, percent: int) -> DataFrame:
-    """Per member and hub: the front of what the two do not have in common, and how much of it counts."""
+    """Per member and hub, what the two do not have in common: how much of it the member has (``new``) and
+    lacks (``lost``), the front of ``new`` and, unless the member is ``strange``, that of all, of which
+    ``far`` and ``own`` count."""
     p, q = 100 - percent, 100 + percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _Sets(span)
-        names = ["class", "hub", "n", "size", "front", "far", "own"]
+        names = ["class", "hub", "n", "new", "lost", "strange", "new_front", "front", "far", "own"]
         for batch in batches:
-            n, sizes, front, far, own = [], [], [], [], []
+            rows = []
             for b, x, y in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 x, base = _set_of(x, span), sets(b, y)
                 new, lost = np.setdiff1d(x, base, assume_unique=True), np.setdiff1d(base, x, assume_unique=True)
-                both, size = np.concatenate([new, lost]).view(np.int64), len(new) + len(lost)
+                size, without = len(new) + len(lost), p * len(x) // 100
+                new_front = new[: without + 1].view(np.int64)
+                if len(new) > without:
+                    rows.append((len(x), len(new), len(lost), True, new_front, new_front[:0], 0, 0))
+                    continue
                 over = q * size - p * (len(x) + len(base))
                 # In units of 1 / 2q: whole numbers, so no bound is rounded the wrong way.
                 first = -(-over // (2 * q)) if over > 0 else 0
                 second = (q * size + p * (len(base) - len(x))) // (2 * q) + 1
-                n.append(len(x))
-                sizes.append(size)
-                far.append(size - first + 1 if over > 0 else 0)
-                own.append(max(size - second + 1, 0))
-                front.append(both[: max(far[-1], own[-1])])
-            columns = [pa.array(n, pa.int64()), pa.array(sizes, pa.int64()), pa.array(front, pa.list_(pa.int64())), pa.array(far, pa.int32()), pa.array(own, pa.int32())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=names)
+                far, own = size - first + 1 if over > 0 else 0, max(size - second + 1, 0)
+                front = np.concatenate([new, lost]).view(np.int64)[: max(far, own)]
+                rows.append((len(x), len(new), len(lost), False, new_front, front, far, own))
+            columns = list(zip(*rows)) or [()] * 8
+            listed = pa.list_(pa.int64())
+            types = [pa.int64()] * 3 + [pa.bool_(), listed, listed, pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(columns, types))], names=names)
 
     pairs = around.select(F.col("class").alias("a"), F.col("hub").alias("b")).distinct()
-    made = _with_texts(pairs, texts).mapInArrow(run, "class long, hub long, n long, size long, front array<long>, far int, own int")
+    schema = "class long, hub long, n long, new long, lost long, strange boolean, new_front array<long>, front array<long>, far int, own int"
+    made = _with_texts(pairs, texts).mapInArrow(run, schema)
     return stage(made.join(around.select("class", "component").distinct(), "class"), "set-differences")
 
 
+def _lists_of_fronts(apart: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries of the lists by hub, kind and shingle: those that look for partners, and all."""
+    size = F.col("new") + F.col("lost")
+
+    def entries(kind: str, rows: DataFrame, front: Column, behind: Column, lost: Column, looks: Column) -> DataFrame:
+        of = F.struct("n", "new", F.col("lost").alias("lacks"), behind.alias("behind"), lost.alias("lost"))
+        return rows.withColumn("of", of).select("hub", F.lit(kind).alias("kind"), "class", "component", "of", looks.alias("looks"), F.explode(front).alias("shingle"))
+
+    behind_new = size - F.col("lost") - F.size("new_front")
+    by_new = entries("new", apart, F.col("new_front"), behind_new, F.col("lost"), F.col("strange"))
+    known, none, is_far = apart.filter("NOT strange"), F.lit(0).cast("long"), F.col("far") > 0
+    by_all = entries("all", known, F.slice("front", F.lit(1), "own"), size - F.col("own"), none, is_far)
+    far = entries("all", known.filter(is_far), F.slice("front", F.lit(1), "far"), size - F.col("far"), none, is_far)
+    return by_new.filter("looks").unionByName(far), by_new.unionByName(by_all)
+
+
 def across(around: DataFrame, texts: DataFrame, span: int, percent: int) -> DataFrame:
     """Pairs (a, b) in different components around one hub that can still be linked."""
-    apart = _differences(around, texts, span, percent)
-    left = F.struct("n", "size", (F.col("size") - F.col("far")).alias("behind_far"), (F.col("size") - F.col("own")).alias("behind_own"))
-    apart = apart.withColumn("of", left)
-    own = apart.select("hub", "class", "component", "of", (F.col("far") > 0).alias("is_far"), F.explode(F.slice("front", F.lit(1), "own")).alias("shingle"))
-    far = apart.filter("far > 0").select("hub", "class", "component", "of", F.explode(F.slice("front", F.lit(1), "far")).alias("shingle"))
-    reached = own.groupBy("hub", "shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    probes = far.join(stage(reached, "set-reached"), ["hub", "shingle"]).filter("component != low OR component != high")
-    x = stage(probes, "set-probes").select("hub", "shingle", F.col("class").alias("x"), F.col("of").alias("ofx"), F.col("component").alias("cx"))
-    met = x.join(own, ["hub", "shingle"]).filter("cx != component AND (NOT is_far OR x < class)")
+    looking, own = _lists_of_fronts(_differences(around, texts, span, percent))
+    p, q = 100 - percent, 100 + percent
+    place = ["hub", "kind", "shingle"]
+    reached = own.groupBy(*place).agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    probes = looking.join(stage(reached, "set-reached"), place).filter("component != low OR component != high")
+    x = stage(probes, "set-probes").select(*place, F.col("class").alias("x"), F.col("of").alias("ofx"), F.col("component").alias("cx"))
+    met = x.join(own, place).filter("cx != component AND (NOT looks OR x < class)")
     met = met.filter(100 * F.least("of.n", "ofx.n") >= percent * F.greatest("of.n", "ofx.n"))
+    # They differ at least by as much as one has more, and one lacks more, than the other.
+    differ = F.abs(F.col("of.new") - F.col("ofx.new")) + F.abs(F.col("of.lacks") - F.col("ofx.lacks"))
+    met = met.filter(q * differ <= p * (F.col("of.n") + F.col("ofx.n")))
     pairs = met.groupBy("hub", "x", "class", "ofx", "of").agg(F.count(F.lit(1)).alias("shared"))
-    p, q = 100 - percent, 100 + percent
-    most = F.col("shared") + F.greatest("ofx.behind_far", "of.behind_own")
-    can = 2 * q * most >= q * (F.col("ofx.size") + F.col("of.size")) - p * (F.col("ofx.n") + F.col("of.n"))
+    most = F.col("shared") + F.greatest("ofx.behind", "of.behind") + F.least("ofx.lost", "of.lost")
+    sizes = F.col("ofx.new") + F.col("ofx.lacks") + F.col("of.new") + F.col("of.lacks")
+    can = 2 * q * most >= q * sizes - p * (F.col("ofx.n") + F.col("of.n"))
     return ordered(pairs.filter(can).select(F.col("x").alias("a"), F.col("class").alias("b")))
 
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stellate.llm import set_join as j
+from stellate.llm import sets
 from stellate.llm.queries import QUERIES
 
 FOUR = j.Settings(shingle=4, percent=85)
@@ -170,3 +171,24 @@ def test_awkward_rows_empty_tables_and_clashing_columns(spark, awkward):
     assert found(clash, FOUR) == brute(pairs, FOUR)
     for df in (awkward.limit(0), awkward.filter("text IS NULL")):
         assert found(df, FOUR) == brute([(r.doc_id, r.text) for r in df.collect()], FOUR)
+
+
+def test_lists_of_a_hub_do_not_hold_all_that_lack_the_rest_of_it(documents):
+    """Texts that have one passage in common with their hub, which is longer, all lack the same of it."""
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(12)]
+    hub = passage + [f"h{i}" for i in range(120)]
+    own = [passage + [f"o{g}-{i}" for i in range(100)] for g in range(20)]
+    pairs = [(0, " ".join(hub))] + [(1 + i, edited(w, i % 3, rng)) for i, w in enumerate(own * 3)]
+    df = documents(pairs)
+    classes = df.select(F.col("doc_id").alias("class"), "text")
+    texts = classes.rdd.map(lambda r: (r["class"], bytearray(sets._compressed(r["text"])))).toDF("class long, packed binary")
+    around = classes.filter("class > 0").selectExpr("class", "0L AS hub", "class AS component")
+    looking, entries = sets._lists_of_fronts(sets._differences(around, texts, 4, 85))
+    longest = entries.groupBy("hub", "kind", "shingle").count().agg(F.max("count")).first()[0]
+    assert looking.count() and longest < 30
+    linked = {(a, b) for (a, x), (b, y) in itertools.combinations(pairs[1:], 2)
+              if 100 * len(shingles(x, 4) & shingles(y, 4)) >= 85 * len(shingles(x, 4) | shingles(y, 4))}
+    met = {tuple(r) for r in sets.across(around, texts, 4, 85).collect()}
+    assert linked and linked <= met and len(met) < 200
+    assert found(df, FOUR) == brute(pairs, FOUR)
