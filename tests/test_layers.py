@@ -1,13 +1,20 @@
 """Versions of a layer, and tables that are counted while they are written."""
 
+import os
+import time
+
 import pytest
 
 from raw_layer import write_raw_layer
 from stellate.operators.cleanup import EmptyWhenWritten
+from stellate.operators.contract import empty_table
 from stellate.plans import silver
 from stellate.plans.silver import clean_layer
-from stellate.plans.star import star_layer
+from stellate.plans.star import StarReport, star_layer
+from stellate.plans.star_map import TABLES
+from stellate.queries import star as star_queries
 from stellate.sources.layers import VERSIONS, Layer
+from stellate.sources.staging import DROP_SHUFFLES, stage
 
 
 @pytest.fixture
@@ -119,3 +126,48 @@ def test_counted_columns_go_with_what_is_made_of_them(spark, tmp_path):
     passed = counted(df, preserve=["b"], into={"a": ["renamed", "made_of_it"]})
     passed.selectExpr("id", "a AS renamed", "0 AS made_of_it", "b", "c").write.parquet(str(tmp_path / "t"))
     assert counted.rows == 4 and counted.left_out() == {"renamed", "made_of_it"}
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {name for name in blocks.getAllFiles().mkString("\n").split("\n") if name.endswith(".data")}
+
+
+def test_shuffle_files_go_with_the_write(spark, layer):
+    before, setting = shuffle_files(spark), spark.conf.get(DROP_SHUFFLES, None)
+    shuffled = spark.range(1000).repartition(3, "id")
+    assert stage(shuffled).count() == layer.write("a", shuffled).count() == 1000
+    with Layer(spark, f"{layer.folder}-b").rebuild() as run:
+        assert run.write("b", shuffled).count() == 1000
+    files = os.listdir(f"{layer.folder}/a")
+    assert any(f.endswith(".zstd.parquet") for f in files) and not any("snappy" in f for f in files)
+    assert spark.conf.get(DROP_SHUFFLES, None) == setting
+    until = time.time() + 20  # the files are deleted in the background; the counts above keep one row each
+    while (left := [f for f in shuffle_files(spark) - before if os.path.exists(f) and os.path.getsize(f) > 500]) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+
+
+def test_a_layer_goes_when_the_next_one_stands(spark, monkeypatch):
+    seen = []
+
+    def clean_layer(spark, raw, clean):
+        seen.append(os.listdir(os.path.dirname(raw)))
+        with Layer(spark, clean).rebuild() as run:
+            run.write("a", spark.range(1))
+
+    def star_layer(spark, clean):
+        seen.append(sorted(os.listdir(os.path.dirname(clean))))
+        with Layer(spark, Layer(spark, clean).beside("star")).rebuild() as run:
+            for name, table in TABLES.items():
+                run.write(name, empty_table(spark, table.declared()))
+        told = spark.createDataFrame([("last_sync_date", "x")], "key string, value string")
+        seen.append(clean)
+        return StarReport(told, told.selectExpr("0L AS orphans"), told)
+
+    monkeypatch.setattr(star_queries, "raw", lambda *a: spark.range(2))
+    monkeypatch.setattr(star_queries, "derive", lambda *a: spark.range(2))
+    monkeypatch.setattr(star_queries.silver, "clean_layer", clean_layer)
+    monkeypatch.setattr(star_queries.star, "star_layer", star_layer)
+    assert star_queries.layers_load(spark, "unused").count() == len(TABLES) + 2
+    assert seen[:2] == [["raw"], ["clean"]] and os.listdir(os.path.dirname(seen[2])) == ["star"]
