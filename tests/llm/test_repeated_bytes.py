@@ -1,11 +1,13 @@
 import collections
 import hashlib
+import os
 import random
 
 import pytest
 
 from stellate.llm import repeated_bytes as rb
 from stellate.llm.suffix_order import suffix_order
+from stellate.sources.staging import shared_folder, stage
 
 
 @pytest.mark.parametrize("n,k", [(1, 1), (2, 1), (4, 1), (13, 1), (60, 2), (90, 3)])
@@ -61,3 +63,31 @@ def test_awkward_and_empty(awkward):
     assert found.count() == awkward.count()
     assert {r.n_removed for r in found.filter("doc_id IN (6, 7)").collect()} == {36 * 3000}
     assert rb.without_repeats(awkward.limit(0)).count() == 0
+
+
+def test_ranges_instead_of_windows_and_nothing_left_behind(spark, monkeypatch):
+    r = random.Random(5)
+
+    def some(n):
+        return "".join(r.choice("abcdefgh ") for _ in range(n))
+
+    passages = [some(r.randint(450, 900)) for _ in range(12)]
+    docs = [(i, some(r.randint(0, 300)) + passages[i % 12] + some(r.randint(0, 300))) for i in range(36)]
+    rows = collections.Counter()
+
+    def counted(df, label="table", options=None):
+        out = stage(df, label, options)
+        rows[label] += out.count()
+        return out
+
+    monkeypatch.setattr(rb, "stage", counted)
+    folder = f"{shared_folder(spark)}/staged"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    tables = {t.name for t in spark.catalog.listTables()}
+    found = rb.without_repeats(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {x.doc_id: (x.n_bytes, x.n_removed, len(x.spans), x.kept_sha256) for x in found.collect()} == brute(docs)
+    # Before, every single window before a phrase that the order leaves open had a row.
+    repeated = sum(len(p) - rb.LENGTH + 1 for p in passages) * 3
+    assert rows["windows"] == 0 and 0 < rows["window-ranges"] < repeated / 2
+    assert all(x.startswith("repeat-digests") for x in set(os.listdir(folder)) - before)
+    assert {t.name for t in spark.catalog.listTables()} == tables
