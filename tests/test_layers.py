@@ -9,6 +9,8 @@ from raw_layer import write_raw_layer
 from stellate.operators.cleanup import EmptyWhenWritten
 from stellate.operators.contract import empty_table
 from stellate.plans import silver
+from stellate.plans import spec as kinds
+from stellate.plans import star as star_plan
 from stellate.plans.silver import clean_layer
 from stellate.plans.star import StarReport, star_layer
 from stellate.plans.star_map import TABLES
@@ -171,3 +173,20 @@ def test_a_layer_goes_when_the_next_one_stands(spark, monkeypatch):
     monkeypatch.setattr(star_queries.star, "star_layer", star_layer)
     assert star_queries.layers_load(spark, "unused").count() == len(TABLES) + 2
     assert seen[:2] == [["raw"], ["clean"]] and os.listdir(os.path.dirname(seen[2])) == ["star"]
+
+
+def test_few_large_tables_are_written_at_once(spark, monkeypatch):
+    large = (kinds.Fact, kinds.Bridge, kinds.CountryBridge, kinds.DelimitedBridge)
+    running, most = [], []
+
+    def rows(star, table):
+        if isinstance(table, large):
+            running.append(table.name)
+            time.sleep(0.2)
+            most.append(len(running))
+            running.remove(table.name)
+        return empty_table(spark, table.declared())
+
+    monkeypatch.setattr(star_plan, "table_rows", rows)
+    done = star_plan.build(star_plan.Star(spark, lambda name: None, lambda name, df: df), parallel=8)
+    assert list(done) == list(TABLES) and 1 <= max(most) <= star_plan.LARGE_AT_ONCE
